@@ -12,6 +12,7 @@ import heapq
 import json
 import re
 from array import array
+from collections.abc import Sequence
 
 import numpy as np
 
@@ -21,49 +22,50 @@ SPACES = "\t\n\x0b\x0c\r \x85\xa0               
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ODD = re.compile(f" [{SPACES}]|[{SPACES}] ")
 _CUT = re.compile(f"(?<=[^{SPACES}]) (?=[^{SPACES}])")
+_LATIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 #: Chunks and words that a worker remembers, about 200 bytes each.
-CACHE = 1_000_000
+CACHE = 600_000
 
 
 def chunks(text: str) -> list[str]:
-    """Pieces whose concatenation is the text; all but the first keep their leading space."""
+    """Pieces that a single space stands between; all but the first begin with it."""
     if text[:1] in SPACES or text[-1:] == " " or _ODD.search(text):
-        parts = _CUT.split(text)
-    else:
-        parts = text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]]
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 class _Cached:
-    """ids(text) through a cache of chunks; subclasses give encode_new."""
+    """ids(text) through a cache of chunks, kept as packed ids; subclasses give encode_new."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.heads: dict[str, bytes] = {}  # chunks that begin a text
+        self.known: dict[str, bytes] = {}  # chunks after a space
 
-    def encode_new(self, new: list[str]) -> list[tuple[int, ...]]:
+    def encode_new(self, new: list[str]) -> list[Sequence[int]]:
         raise NotImplementedError
 
+    def _learn(self, cache: dict[str, bytes], met: set[str], space: str) -> None:
+        new = list(met - cache.keys())
+        for c, ids in zip(new, self.encode_new([space + c for c in new]), strict=True):
+            cache[c] = array("I", ids).tobytes()
+
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """uint32 ids of each text; null is empty."""
         out = []
         at = 0
         while at < len(texts):
             cut, size = [], 0
-            while at < len(texts) and (not cut or size < 4_000_000):
-                t = texts[at] or ""
+            while at < len(texts) and (not cut or size < 2_000_000):
+                t = texts[at]
                 cut.append(chunks(t) if t else [])
-                size += len(t)
+                size += len(t or "")
                 at += 1
-            if len(self.known) > CACHE:
-                self.known = {}
-            known = self.known
-            new = list({c for parts in cut for c in parts if c not in known})
-            known.update(zip(new, self.encode_new(new), strict=True))
-            for parts in cut:
-                ids = array("I")
-                for c in parts:
-                    ids.extend(known[c])
-                out.append(np.frombuffer(ids, np.uint32) if ids else np.empty(0, np.uint32))
+            if len(self.known) + len(self.heads) > CACHE:
+                self.heads, self.known = {}, {}
+            self._learn(self.heads, {parts[0] for parts in cut if parts}, "")
+            self._learn(self.known, set().union(*[parts[1:] for parts in cut]), " ")
+            heads, known = self.heads, self.known.__getitem__
+            out += [np.frombuffer(heads[parts[0]] + b"".join(map(known, parts[1:])), np.uint32) if parts else np.empty(0, np.uint32) for parts in cut]
         return out
 
 
@@ -81,8 +83,26 @@ class LibraryEncoder(_Cached):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
-    def encode_new(self, new: list[str]) -> list[tuple[int, ...]]:
-        return [tuple(e.ids) for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
+        self.letter_of = {b: c for c, b in _byte_letters().items()}
+        self.tails: dict[str, list[int]] = {"": []}
+
+    def encode_new(self, new: list[str]) -> list[Sequence[int]]:
+        """Latin words go to the library's model at once: to the pre-tokenizer they'd be one word and one run of marks."""
+        model, letter_of, tails = self.tokenizer.model, self.letter_of, self.tails
+        plain = [_LATIN.fullmatch(c) for c in new]
+        rest = [c for c, m in zip(new, plain) if not m]
+        others = iter([e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)])
+        out = []
+        for m in plain:
+            if not m:
+                out.append(next(others))
+                continue
+            if (tail := tails.get(m[2])) is None:
+                tail = self.tokenizer.encode(m[2], add_special_tokens=False).ids
+                if len(m[2]) < 4:
+                    tails[m[2]] = tail
+            out.append([t.id for t in model.tokenize(m[1].encode().decode("latin-1").translate(letter_of))] + tail)
+        return out
 
 
 def _byte_letters() -> dict[str, int]:
@@ -180,7 +200,7 @@ class RankEncoder(_Cached):
             ids += found
         return ids
 
-    def encode_new(self, new: list[str]) -> list[tuple[int, ...]]:
+    def encode_new(self, new: list[str]) -> list[Sequence[int]]:
         if len(self.words) > CACHE:
             self.words = {}
         out = []
@@ -189,9 +209,9 @@ class RankEncoder(_Cached):
                 ids: list[int] = []
                 for part in self.split_special.split(text):
                     ids += [self.special[part]] if part in self.special else self._plain(part)
-                out.append(tuple(ids))
+                out.append(ids)
             else:
-                out.append(tuple(self._plain(text)))
+                out.append(self._plain(text))
         return out
 
     def decode(self, ids) -> str:
