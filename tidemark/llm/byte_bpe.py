@@ -12,7 +12,6 @@ import heapq
 import json
 import re
 from array import array
-from collections.abc import Sequence
 
 import numpy as np
 
@@ -22,7 +21,7 @@ SPACES = "\t\n\x0b\x0c\r \x85\xa0               
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _ODD = re.compile(f" [{SPACES}]|[{SPACES}] ")
 _CUT = re.compile(f"(?<=[^{SPACES}]) (?=[^{SPACES}])")
-_LATIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
+_LATIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 #: Chunks and words that a worker remembers, about 200 bytes each.
 CACHE = 600_000
 
@@ -41,13 +40,13 @@ class _Cached:
         self.heads: dict[str, bytes] = {}  # chunks that begin a text
         self.known: dict[str, bytes] = {}  # chunks after a space
 
-    def encode_new(self, new: list[str]) -> list[Sequence[int]]:
+    def encode_new(self, new: list[str]) -> list[bytes]:
+        """Packed uint32 ids of each text."""
         raise NotImplementedError
 
     def _learn(self, cache: dict[str, bytes], met: set[str], space: str) -> None:
         new = list(met - cache.keys())
-        for c, ids in zip(new, self.encode_new([space + c for c in new]), strict=True):
-            cache[c] = array("I", ids).tobytes()
+        cache.update(zip(new, self.encode_new([space + c for c in new]), strict=True))
 
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """uint32 ids of each text; null is empty."""
@@ -84,24 +83,28 @@ class LibraryEncoder(_Cached):
         self.tokenizer.no_padding()
 
         self.letter_of = {b: c for c, b in _byte_letters().items()}
-        self.tails: dict[str, list[int]] = {"": []}
+        self.tails: dict[str, bytes] = {"": b""}
 
-    def encode_new(self, new: list[str]) -> list[Sequence[int]]:
+    def encode_new(self, new: list[str]) -> list[bytes]:
         """Latin words go to the library's model at once: to the pre-tokenizer they'd be one word and one run of marks."""
-        model, letter_of, tails = self.tokenizer.model, self.letter_of, self.tails
+        model, letter_of, tails, known = self.tokenizer.model, self.letter_of, self.tails, self.known
         plain = [_LATIN.fullmatch(c) for c in new]
         rest = [c for c, m in zip(new, plain) if not m]
-        others = iter([e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)])
+        others = iter([array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)])
         out = []
         for m in plain:
             if not m:
                 out.append(next(others))
                 continue
-            if (tail := tails.get(m[2])) is None:
-                tail = self.tokenizer.encode(m[2], add_special_tokens=False).ids
-                if len(m[2]) < 4:
-                    tails[m[2]] = tail
-            out.append([t.id for t in model.tokenize(m[1].encode().decode("latin-1").translate(letter_of))] + tail)
+            word, marks = m[1], m[2]
+            ids = known.get(word[1:]) if marks and word[0] == " " else None
+            if ids is None:
+                ids = array("I", [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(letter_of))]).tobytes()
+            if (tail := tails.get(marks)) is None:
+                tail = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
+                if len(marks) < 8:
+                    tails[marks] = tail
+            out.append(ids + tail)
         return out
 
 
@@ -200,7 +203,7 @@ class RankEncoder(_Cached):
             ids += found
         return ids
 
-    def encode_new(self, new: list[str]) -> list[Sequence[int]]:
+    def encode_new(self, new: list[str]) -> list[bytes]:
         if len(self.words) > CACHE:
             self.words = {}
         out = []
@@ -209,9 +212,9 @@ class RankEncoder(_Cached):
                 ids: list[int] = []
                 for part in self.split_special.split(text):
                     ids += [self.special[part]] if part in self.special else self._plain(part)
-                out.append(ids)
+                out.append(array("I", ids).tobytes())
             else:
-                out.append(self._plain(text))
+                out.append(array("I", self._plain(text)).tobytes())
         return out
 
     def decode(self, ids) -> str:
