@@ -507,7 +507,10 @@ p as (select work_key, case s_suppkey % 4 when 0 then 'running' when 1 then 'com
 l as (select work_key, case s_suppkey % 3 when 0 then '2026-01-01 00:00:00' when 1 then '2026-06-01 00:00:00' else '' end expires_at from w where s_suppkey % 7 <> 0),
 o as (select w.work_key, coalesce(status, 'pending') status, cast(case coalesce(status, 'pending') when 'failed' then 0 when 'pending' then 1 when 'running' then 2 else 3 end as int) status_rank,
  cast(list_sum(list_transform(string_split('worker-a:' || w.work_key, ''), lambda c: ascii(c))) % 1024 as bigint) worker_rank from w left join p on w.work_key = p.work_key) """
-NOW = F.lit("2026-03-01 00:00:00").cast("timestamp")
+
+
+def _now() -> Column:
+    return F.lit("2026-03-01 00:00:00").cast("timestamp")
 
 
 def _work(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -520,7 +523,7 @@ def _work(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]
 @query(WORK_SQL + "select p.work_key from p left join l on p.work_key = l.work_key where status = 'running' and (expires_at is null or coalesce(try_cast(expires_at as timestamp) <= timestamp '2026-03-01', true))")
 def stale_work(spark, d):
     _, p, leases = _work(spark, d)
-    return control.stale(p, leases, NOW).select("work_key")
+    return control.stale(p, leases, _now()).select("work_key")
 
 
 @query(WORK_SQL + "select * from o")
@@ -544,7 +547,7 @@ def failed_work(spark, d):
 @query(WORK_SQL + "select work_key, status from o where status <> 'completed' and work_key not in (select work_key from l where not coalesce(try_cast(expires_at as timestamp) <= timestamp '2026-03-01', true)) order by status_rank, worker_rank, work_key limit 1")
 def claim_next(spark, d):
     w, p, leases = _work(spark, d)
-    return control.claim(control.work_order(w, p, "worker-a"), leases, NOW).select("work_key", "status")
+    return control.claim(control.work_order(w, p, "worker-a"), leases, _now()).select("work_key", "status")
 
 
 @query(WORK_SQL + "select work_key from w where work_key not in (select work_key from p where status = 'completed')")
@@ -567,7 +570,7 @@ def gate_verify(spark, d):
         ("a", "passed", "f1", "2026-02-28 00:00:00", ["x", "y", "z"]), ("b", "failed", "f1", "2026-02-28 00:00:00", ["x", "y"]), ("c", "passed", "f2", "2026-02-28 00:00:00", ["x", "y"]),
         ("d", "passed", "f1", "soon", ["x", "y"]), ("e", "passed", "f1", "2026-02-20 00:00:00", ["x", "y"]), ("f", "passed", "f1", "2026-02-28 00:00:00", ["x"]), ("g", None, None, None, None),
     ])
-    return control.gate(rows, "f1", ["x", "y"], NOW, 48).select("scope", "failure", "passed")
+    return control.gate(rows, "f1", ["x", "y"], _now(), 48).select("scope", "failure", "passed")
 
 
 @query("select * from (values ('t', 'b'), ('u', 'a')) t(table_name, column_name)")
