@@ -70,6 +70,7 @@ class Automaton:
                 self.skip[opened.pop()].append(at)
             elif part.startswith("<<var"):
                 end = self._new()
+                self.skip[at].append(end)
                 for _ in range(int(re.search(r"match=(\d+)", part)[1])):
                     nxt = self._new()
                     self.any_[at].append(nxt)
