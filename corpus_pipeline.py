@@ -16,7 +16,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the calibrated cutoffs reject go."""
-    measures = quality.measured(docs)
+    measures = staged(quality.measured(docs), "quality-measures")  # counted once, for the cutoffs and the verdicts
     cutoffs = staged(quality.calibrate(measures, table(spark, sf_dir, "labels")), "quality-cutoffs")
     return quality.judged(measures, cutoffs).where("kept").select(*docs.columns)
 

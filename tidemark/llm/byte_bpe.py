@@ -15,6 +15,8 @@ from array import array
 
 import numpy as np
 
+from tidemark.llm.common import claim_cache
+
 #: The white space characters of the Unicode property White_Space.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0                　"
 #: Fixed value: the pre-tokenizer's pattern, as the public tokenizer file's documentation gives it.
@@ -227,6 +229,7 @@ _encoders: dict[tuple, _Cached] = {}
 
 def encoder(kind: type, path: str) -> _Cached:
     """One encoder for each Python worker."""
+    claim_cache(f"encoder {kind.__name__} {path}", _encoders.clear)
     if (kind, path) not in _encoders:
         _encoders[kind, path] = kind(path)
     return _encoders[kind, path]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,16 @@ def row_keys(id_col: str = "doc_id", text_col: str = "text") -> dict[str, Column
     }
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def claim_cache(owner: str, clear: Callable[[], None]) -> None:
+    """A Python worker keeps one operator's cache at a time: those of other operators that it ran before are cleared."""
+    for name in [n for n in _caches if n != owner]:
+        _caches.pop(name)()
+    _caches[owner] = clear
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

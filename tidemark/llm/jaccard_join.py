@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, release, row_keys, staged
+from tidemark.llm.common import claim_cache, partitions, release, row_keys, staged
 from tidemark.llm.components import components
 
 #: Odd multipliers of a shingle's words.
@@ -46,7 +46,7 @@ CHUNK = 2_000_000
 
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_500_000:
+        if len(self) > 300_000:
             self.clear()
         h = xxhash.xxh64_intdigest(word)
         self[word] = h = h - (1 << 64) if h >> 63 else h
@@ -58,6 +58,7 @@ _word_hash = _WordHash()
 
 def shingle_sets(texts: list[str | None], n: int = 5) -> list[np.ndarray]:
     """Sorted distinct uint64 hashes of each text's word n-grams (n at most 8); the whole sequence's where it has fewer words."""
+    claim_cache("word hashes", _word_hash.clear)
     out = []
     for text in texts:
         words = (text or "").encode("utf-8", "surrogatepass").lower().split()

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import claim_cache
+
 BUCKETS = 1 << 16
 _letters: list[np.ndarray] = []
 
@@ -26,7 +28,7 @@ _letters: list[np.ndarray] = []
 def _folded() -> np.ndarray:
     """Code point -> its small letter, 0 for what isn't a letter."""
     if not _letters:
-        fold = np.zeros(0x110000, np.uint64)
+        fold = np.zeros(0x110000, np.uint32)
         for i in range(0x110000):
             if unicodedata.category(c := chr(i))[0] == "L":
                 fold[i] = ord(c.lower()[0])
@@ -92,6 +94,7 @@ def learn(rows: DataFrame) -> Model:
     """rows: text, lang. The result's size is languages x BUCKETS counts."""
 
     def count(batches):
+        claim_cache("language model", lambda: None)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for t, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -123,6 +126,7 @@ def identify(docs: DataFrame, *, keep: list[str] | None = None) -> DataFrame:
     names = [n for n in rows.columns if n != "_text"]
 
     def run(batches):
+        claim_cache("language model", lambda: None)
         m = shared.value
         for batch in batches:
             got = [m.predict(t) for t in batch.column("_text").to_pylist()]
