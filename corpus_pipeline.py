@@ -16,9 +16,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the calibrated cutoffs reject go."""
-    measures = staged(quality.measured(docs), "quality-measures")  # counted once, for the cutoffs and the verdicts
+    measures = staged(quality.measured(docs).drop("text"), "quality-measures")  # narrow: texts are read again for the verdicts
     cutoffs = staged(quality.calibrate(measures, table(spark, sf_dir, "labels")), "quality-cutoffs")
-    return quality.judged(measures, cutoffs).where("kept").select(*docs.columns)
+    return quality.judged(quality.measured(docs), cutoffs).where("kept").select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
