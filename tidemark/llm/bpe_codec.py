@@ -16,13 +16,20 @@ from tidemark.llm.byte_bpe import RankEncoder, encoder
 from tidemark.llm.common import tokenizer_file
 
 
+def small(batches, rows: int = 256):
+    """Batches of few rows: ids as Python numbers take many times the text's room."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def encode_decode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """id, ids (array of int) and decoded (the text again) of every row."""
     path = path or tokenizer_file()
 
     def run(batches):
         bpe = encoder(RankEncoder, path)
-        for batch in batches:
+        for batch in small(batches):
             ids = bpe.batch(batch.column(1).to_pylist())
             texts = [bpe.decode(x.tolist()) for x in ids]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
@@ -37,7 +44,7 @@ def digests(docs: DataFrame, *, path: str | None = None) -> DataFrame:
     def run(batches):
         bpe = encoder(RankEncoder, path)
         decimal: dict[int, str] = {i: str(i) for i in bpe.bytes_of}
-        for batch in batches:
+        for batch in small(batches):
             ids = [x.tolist() for x in bpe.batch(batch.column(1).to_pylist())]
             sha = [hashlib.sha256(",".join(map(decimal.__getitem__, x)).encode()).hexdigest() for x in ids]
             back = [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]

@@ -206,7 +206,7 @@ class RankEncoder(_Cached):
         return ids
 
     def encode_new(self, new: list[str]) -> list[bytes]:
-        if len(self.words) > CACHE:
+        if len(self.words) > CACHE // 3:
             self.words = {}
         out = []
         for text in new:
