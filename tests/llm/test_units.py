@@ -57,7 +57,8 @@ def test_plan_uses_the_histogram_up(lengths):
         for a in p:
             used[a] += n
     assert used[1:].tolist() == hist[1:].tolist()
-    assert sum(n for _, n in planned) <= max(-(-sum(lengths) // 64), 1.3 * sum(lengths) / 64 + 1)
+    # Best fit leaves at most one sequence half empty. (30, 35, 35, 35 do need four, so no closer bound holds for all.)
+    assert sum(n for _, n in planned) <= 2 * sum(lengths) / 64 + 1
 
 
 def test_search_is_exact():
