@@ -97,6 +97,7 @@ def judged(measures: DataFrame, cutoffs: DataFrame, *, stratum: str = "lang") ->
     """The rows with `kept`. cutoffs: what calibrate gave, staged; its rows are counted before any broadcast."""
     side = cutoffs.withColumnRenamed("stratum", "_stratum")
     side = F.broadcast(side) if cutoffs.count() <= BROADCAST_ROWS else side
-    over = " or ".join(f"coalesce({name} > {name}_cut, false)" for name in RULES)
+    # greatest() skips nulls (rules that are off) and can't be split: an "or" would be pushed below the join in parts and the measures worked out twice.
+    rejected = f"greatest(base_failed, {', '.join(f'{name} > {name}_cut' for name in RULES)})"
     out = ratios(measures).join(side, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
-    return out.withColumn("kept", F.expr(f"not base_failed and not ({over})")).drop("_stratum", *[f"{name}_cut" for name in RULES], *RULES)
+    return out.withColumn("kept", F.expr(f"not {rejected}")).drop("_stratum", *[f"{name}_cut" for name in RULES], *RULES)
