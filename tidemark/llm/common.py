@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,11 +62,33 @@ _caches: dict[str, Callable[[], None]] = {}
 
 def claim_cache(owner: str, clear: Callable[[], None]) -> None:
     """A Python worker keeps one operator's cache at a time: those of other operators that it ran before are cleared."""
-    for name in [n for n in _caches if n != owner]:
-        _caches.pop(name)()
+    if others := [n for n in _caches if n != owner]:
+        for name in others:
+            _caches.pop(name)()
+        gc.collect()
+        give_back()
     _caches[owner] = clear
 
 
+def give_back() -> None:
+    """Return what Arrow and the C library hold unused to the machine: a Python worker lives on between tasks, beside others and the JVM."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's; other C libraries have none
+        trim(0)
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, a function over a task's batches, which gives unused memory back when the task ends."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

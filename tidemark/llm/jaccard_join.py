@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import claim_cache, partitions, release, row_keys, staged
+from tidemark.llm.common import claim_cache, partitions, release, row_keys, staged, tidied
 from tidemark.llm.components import components
 
 #: Odd multipliers of a shingle's words.
@@ -123,7 +123,7 @@ def _chunks(docs: DataFrame, buckets: int, n: int) -> DataFrame:
         if ids:
             yield flush()
 
-    return docs.select("k_id", "k_text", "text").mapInArrow(run, "chunk long, bucket int, a binary, b binary, c binary, d binary")
+    return docs.select("k_id", "k_text", "text").mapInArrow(tidied(run), "chunk long, bucket int, a binary, b binary, c binary, d binary")
 
 
 def _sized(docs: DataFrame, num: int, den: int, n: int) -> DataFrame:
@@ -174,7 +174,7 @@ def _members(docs: DataFrame, n: int) -> DataFrame:
                     names=["k_id", "k_text", "cls", "n", "hashes"],
                 )
 
-    return docs.select("k_id", "k_text", "text").mapInArrow(run, "k_id long, k_text long, cls binary, n long, hashes array<long>")
+    return docs.select("k_id", "k_text", "text").mapInArrow(tidied(run), "k_id long, k_text long, cls binary, n long, hashes array<long>")
 
 
 def _prefixes(classes: DataFrame, num: int, den: int) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import claim_cache
+from tidemark.llm.common import claim_cache, tidied
 
 BUCKETS = 1 << 16
 _letters: list[np.ndarray] = []
@@ -104,7 +104,7 @@ def learn(rows: DataFrame) -> Model:
             at = np.nonzero(c)[0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(c[at])], names=["lang", "bucket", "n"])
 
-    got = rows.where("lang is not null").select("text", "lang").mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    got = rows.where("lang is not null").select("text", "lang").mapInArrow(tidied(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(got["lang"].to_pylist()))
     counts = np.zeros((len(langs), BUCKETS), np.int64)
     place = {x: i for i, x in enumerate(langs)}
@@ -134,4 +134,4 @@ def identify(docs: DataFrame, *, keep: list[str] | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array(mixed, pa.string())], names=[*names, "lang_pred", "score", "languages"])
 
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(run, ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", lang_pred string, score double, languages string")
+    return rows.mapInArrow(tidied(run), ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", lang_pred string, score double, languages string")

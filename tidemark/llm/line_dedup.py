@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import row_keys
+from tidemark.llm.common import row_keys, tidied
 
 EDGE = re.compile(r"\n|[.,;:!?](?=\s)")
 
@@ -82,7 +82,7 @@ def dedup(docs: DataFrame, *, min_words: int = 20, solid_words: int = 12) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
 
     names, kinds = ["k_id", "k_text", "pos", "h1", "h2"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    found = keyed.select("k_id", "k_text", "text").mapInArrow(emit, "k_id long, k_text long, pos int, h1 long, h2 long")
+    found = keyed.select("k_id", "k_text", "text").mapInArrow(tidied(emit), "k_id long, k_text long, pos int, h1 long, h2 long")
     first = found.groupBy("h1", "h2").agg(F.min("k_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     repeats = found.join(first, ["h1", "h2"]).where("k_id > first").groupBy("k_id", "k_text").agg(F.collect_list("pos").alias("_repeats"))
     rows = keyed.join(repeats, ["k_id", "k_text"], "left").drop("k_id", "k_text")
@@ -110,4 +110,4 @@ def dedup(docs: DataFrame, *, min_words: int = 20, solid_words: int = 12) -> Dat
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *more], names=[*kept, "clean_text", "n_units", "n_removed", "removed_spans"])
 
     kinds_of = dict(rows.dtypes)
-    return rows.mapInArrow(rewrite, ", ".join(f"`{c}` {kinds_of[c]}" for c in kept) + ", clean_text string, n_units long, n_removed long, removed_spans array<array<long>>")
+    return rows.mapInArrow(tidied(rewrite), ", ".join(f"`{c}` {kinds_of[c]}" for c in kept) + ", clean_text string, n_units long, n_removed long, removed_spans array<array<long>>")

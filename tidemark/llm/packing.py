@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import LibraryEncoder, encoder
-from tidemark.llm.common import staged, tokenizer_file
+from tidemark.llm.common import staged, tidied, tokenizer_file
 
 PIECES = "task int, doc_id long, piece int, start long, length long, ids binary, nth long"
 
@@ -50,7 +50,7 @@ def pieces(docs: DataFrame, *, capacity: int = 2048, end_id: int = 0, tokenizer:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=PIECE_NAMES)
 
     kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), PIECES)
 
 
 PIECE_NAMES = [x.split()[0] for x in PIECES.split(", ")]
