@@ -155,6 +155,21 @@ def test_repeated_passages(spark, empty):
     assert line_dedup.dedup(empty).count() == 0
 
 
+def test_passages_cut_inside_clauses(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    fresh = lambda n, k: " ".join(word() + ("," if k and i % k == k - 1 else "") for i in range(n))
+    passages = [fresh(52, k) for k in (0, 0, 45, 26, 9)]
+    rows = [(i, f"{fresh(30, 11)} {passages[i % 5]} {fresh(30, 11)}") for i in range(15)]
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    seen = set()
+    for r in got:
+        at, w = [m.span() for m in re.finditer(r"\S+", r.text)], r.text.split()
+        again = {j for i in range(len(w) - 49) if tuple(w[i : i + 50]) in seen for j in range(i, i + 50)}
+        seen |= {tuple(w[i : i + 50]) for i in range(len(w) - 49)}
+        assert [j for j, (s, e) in enumerate(at) if any(a <= s and e <= b for a, b in r.removed_spans)] == sorted(again)
+
+
 def test_search(spark):
     rng = random.Random(2)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(4)], 0) for i in range(300)] + [(400, None, 0), (450, [1.0, None], 0), (500, [float("nan")] * 4, 0), (None, [1.0] * 4, 0), (550, [1.0, 0.5], 0), (601, [float("inf")] * 4, 0)]

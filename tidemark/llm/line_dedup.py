@@ -1,33 +1,62 @@
-"""Operator 6: removal of repeated passages by hashing lines, cut further at clause ends.
-
-Units are the pieces of a text between line ends and between marks (.,;:!?) that white space follows, so a passage set
-in the middle of another line still has whole units of its own. A unit's digest is 128 bits of its words in small
-letters with one space between. Digests are grouped globally: each keeps its occurrence in the document with the
-smallest doc_id (the first one there), every other is a repeat. Runs of neighbouring repeats are removed if they hold
-at least `min_words` words, at least `solid_words` of them in units of four words or more, so chance repeats of short
-clauses and short common lines stay. Offsets (in characters of the original text) of what was removed are kept.
-
-Only digests are shuffled, pre-aggregated by task; the join that finds repeats can be split by adaptive execution
-where one digest has a third of all rows. Nulls: a null text has no units. A null doc_id ranks before all others.
-Rows that share a doc_id rank as one document, rows equal in id and text get the same result each.
+"""Operator 6: removal of repeated passages by hashing lines, clauses and windows of words.
+
+A text is looked at as words in small letters, in three ways. Each makes entries, 64-bit hashes that are met globally:
+an entry is a repeat if the same one is in a document earlier in order of (doc_id, text hash), or earlier in its own.
+
+1. *Windows* of ten words, at every word. Neighbouring repeats make a run; its words go if they are `min_words` or
+   more. So every passage of `min_words` words that stands earlier as a whole goes, wherever it begins and ends.
+2. *Clauses*, the pieces between line ends and marks (.,;:!?) that white space follows. Runs of neighbouring repeats go
+   if they hold `min_words` words, `solid_words` of them in clauses of four words or more: these also hold what was
+   put together from clauses of several documents.
+3. *Whole lines and paragraphs* (lines between blank ones) of `line_words` words or more go by themselves.
+
+Offsets (in characters of the original text) of what was removed are kept.
+
+A task packs its documents in chunks and sends an entry once for all of a chunk's documents, 48 bits of it to one of
+the buckets that the rest chooses; a run needs eleven windows and a line is held by two entries, so a chance collision
+removes nothing but, once in millions of run ends, one more word. Documents get one bit per entry back. Nulls: a null
+text has no words. A null doc_id ranks before all others. Rows equal in id and text are one document and get the same
+result each; of other rows that share an id, or have none, exactly one keeps each entry.
 """
 
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import row_keys, tidied
+from tidemark.llm.common import claim_cache, partitions, row_keys, tidied
 
 EDGE = re.compile(r"\n|[.,;:!?](?=\s)")
+WORD = re.compile(r"\S+")
+#: Words of a window, and entries of a chunk of documents.
+WINDOW, CHUNK = 10, 1_000_000
+MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+NONE = np.empty(0, np.uint64)
+
+
+class _WordHash(dict):
+    """Signed 64-bit hashes; the lowest bit is set if a clause ends with the word."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) >> 1 << 1 | (word[-1] in ".,;:!?")
+        self[word] = h = h - (1 << 64) if h >> 63 else h
+        return h
+
+
+_word_hash = _WordHash()
 
 
 def units(text: str) -> list[tuple[int, int, int, bytes]]:
-    """(start, end, words, digest) of the units, in order; they cover the text."""
+    """(start, end, words, digest) of the clauses, in order; they cover the text."""
     out, at = [], 0
     for end in [*[m.end() for m in EDGE.finditer(text)], len(text)]:
         if end > at:
@@ -37,6 +66,67 @@ def units(text: str) -> list[tuple[int, int, int, bytes]]:
     return out
 
 
+def lines(text: str, line_words: int) -> tuple[list[str], list[int], list[tuple[int, int]]]:
+    """The words, where lines end, and which words ([start, end)) are whole lines, and paragraphs of several lines, of line_words or more."""
+    words, ends, found, begin, n = [], [], [], 0, 0
+    for line in [*text.lower().split("\n"), ""]:
+        a = len(words)
+        words += line.split()
+        if len(words) > a:
+            n += 1
+            ends.append(len(words))
+            if len(words) - a >= line_words:
+                found.append((a, len(words)))
+        else:
+            if n > 1 and a - begin >= line_words:
+                found.append((begin, a))
+            begin, n = a, 0
+    return words, ends, found
+
+
+def _mixed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    h = x * MIX[0] + y * MIX[1]
+    h ^= h >> np.uint64(32)
+    h *= MIX[0]
+    return h ^ (h >> np.uint64(29))
+
+
+def windows(a: np.ndarray) -> np.ndarray:
+    """Hashes of the windows of ten words, from the words' hashes."""
+    if len(a) < WINDOW:
+        return NONE
+    two = _mixed(a[:-1], a[1:])
+    four = _mixed(two[:-2], two[2:])
+    eight = _mixed(four[:-4], four[4:])
+    return _mixed(eight[:-2], two[8:])
+
+
+@lru_cache(64)
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and their inverses modulo 2**64."""
+    return tuple(np.multiply.accumulate(np.array([1, *[b] * (n - 1)], np.uint64)) for b in (base, pow(base, -1, 1 << 64)))
+
+
+def stretches(a: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint64) -> np.ndarray:
+    """Hashes of stretches of words, from the words' hashes."""
+    power, inverse = _powers(int(base), 1 << len(a).bit_length())
+    sums = np.concatenate((NONE, [np.uint64(0)], np.cumsum(a * power[: len(a)])))
+    return _mixed((sums[end] - sums[start]) * inverse[start], (end - start).astype(np.uint64))
+
+
+def entries(text: str | None, line_words: int) -> np.ndarray:
+    """Windows, then clauses with words, then the lines by two hashes each."""
+    words, ends, found = lines(text or "", line_words)
+    if not words:
+        return NONE
+    a = np.array(list(map(_word_hash.__getitem__, words)), np.int64).view(np.uint64)
+    last = (a & np.uint64(1)).astype(bool)
+    last[np.array(ends) - 1] = True
+    end = np.flatnonzero(last) + 1
+    i, j = np.array(found, np.int64).reshape(-1, 2).T
+    return np.concatenate([windows(a), stretches(a, np.append(0, end[:-1]), end, MIX[1]), *(stretches(b, i, j, MIX[0]) for b in (a, _mixed(a, a)))])
+
+
 def removed(found: list[tuple[int, int, int, bytes]], repeat: set[int], min_words: int, solid_words: int) -> list[tuple[int, int]]:
     """Spans to remove, given which units are repeats. Units without words go with the run they stand in."""
     spans, run = [], []
@@ -57,55 +147,159 @@ def removed(found: list[tuple[int, int, int, bytes]], repeat: set[int], min_word
     return spans
 
 
-def _split(digest: bytes) -> tuple[int, int]:
-    return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
+def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], flags.astype(np.int8), [0]))))
+    return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
 
 
-def dedup(docs: DataFrame, *, min_words: int = 20, solid_words: int = 12) -> DataFrame:
-    """The rows of docs with clean_text, n_units, n_removed and removed_spans (array of [start, end))."""
-    keyed = docs.withColumns(row_keys())
+def cut(text: str, repeat: np.ndarray, min_words: int, solid_words: int, line_words: int) -> list[tuple[int, int]]:
+    """Spans of the text to remove, given which of its entries are repeats."""
+    words, _, found = lines(text, line_words)
+    own, at = units(text), [m.span() for m in WORD.finditer(text)]
+    n, w, c, k = len(words), max(0, len(words) - WINDOW + 1), sum(u[2] > 0 for u in own), len(found)
+    gone = np.zeros(n, bool)
+    for i, j in _runs(repeat[:w]):
+        if j - i + WINDOW - 1 >= min_words:
+            gone[i : j + WINDOW - 1] = True
+    with_words = [i for i, u in enumerate(own) if u[2]]
+    starts = [s for s, _ in at]
+    for a, b in removed(own, {with_words[i] for i in np.flatnonzero(repeat[w : w + c])}, min_words, solid_words):
+        gone[np.searchsorted(starts, a) : np.searchsorted(starts, b)] = True
+    spans = []
+    for i, j in _runs(gone):
+        (a, _), (_, b) = at[i], at[j - 1]
+        before, after = at[i - 1][1] if i else 0, at[j][0] if j < n else len(text)
+        line_end = text.find("\n", b, after)
+        if line_end < 0:  # up to the next word, or the text's end
+            b = after
+        elif not i or "\n" in text[before:a]:  # whole lines, with their end
+            a, b = max(before, text.rfind("\n", before, a) + 1), line_end + 1
+        spans.append((a, b))
+    return spans
+
+
+def _small(a: np.ndarray) -> bytes:
+    """Numbers in two bytes each, or in four if one needs that; _wide reads them."""
+    return a.astype("<u2" if not len(a) or a.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype(np.int64)
+
+
+PACKED = "chunk long, bucket int, ids binary, keys binary, counts binary, low binary, mid binary, at binary"
+
+
+def _chunks(docs: DataFrame, buckets: int, line_words: int) -> DataFrame:
+    """Rows of two kinds: the documents of a chunk, their counts of entries and the bits of those repeated within it (low is null), and of each bucket the entries, by document."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part, count = TaskContext.get().partitionId(), 0
+        claim_cache("passage words", _word_hash.clear)
+        held, size = {}, 0
+
+        def flush():
+            keys = sorted(held)
+            lens = np.array([len(held[k]) for k in keys], np.int64)
+            h = np.concatenate([held[k] for k in keys])
+            ids, texts = (np.array(x, "<i8") for x in zip(*keys))
+            # Documents are in order, so of equal entries the first one is the earliest.
+            order = np.argsort(h, kind="stable")
+            again = np.zeros(len(h), bool)
+            again[order[1:]] = h[order[1:]] == h[order[:-1]]
+            at = np.flatnonzero(~again)
+            h, who = h[at], np.repeat(np.arange(len(keys)), lens)[at]
+            bucket = ((h >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            chunk = (part << 32) + count
+            rows = [(chunk, chunk % buckets, ids.tobytes(), texts.tobytes(), lens.tobytes(), None, None, np.packbits(again).tobytes())]
+            for b in range(buckets):
+                mine = order[edges[b] : edges[b + 1]]
+                if len(mine):
+                    n = np.bincount(who[mine], minlength=len(keys))
+                    has, x = n > 0, h[mine]
+                    rows.append((chunk, b, ids[has].tobytes(), texts[has].tobytes(), _small(n[has]), x.astype("<u4").tobytes(), (x >> np.uint64(32)).astype("<u2").tobytes(), _small(np.diff(at[mine], prepend=0))))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32()] + [pa.binary()] * 6)], names=[x.split()[0] for x in PACKED.split(", ")])
 
-    def emit(batches):
         for batch in batches:
-            ids, texts, t = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            rows: list[list] = [[], [], [], [], []]
-            for k_id, k_text, text in zip(ids, texts, t, strict=True):
-                seen = set()
-                for pos, (_, _, n, digest) in enumerate(units(text or "")):
-                    if n and digest not in seen:
-                        seen.add(digest)
-                        for c, v in zip(rows, (k_id, k_text, pos, *_split(digest)), strict=True):
-                            c.append(v)
-                if len(rows[0]) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
-                    rows = [[], [], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
-
-    names, kinds = ["k_id", "k_text", "pos", "h1", "h2"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    found = keyed.select("k_id", "k_text", "text").mapInArrow(tidied(emit), "k_id long, k_text long, pos int, h1 long, h2 long")
-    first = found.groupBy("h1", "h2").agg(F.min("k_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    repeats = found.join(first, ["h1", "h2"]).where("k_id > first").groupBy("k_id", "k_text").agg(F.collect_list("pos").alias("_repeats"))
+            for a in range(0, batch.num_rows, 256):
+                for k_id, k_text, text in zip(*(batch.column(i).slice(a, 256).to_pylist() for i in range(3)), strict=True):
+                    if (k_id, k_text) not in held and len(x := entries(text, line_words)):
+                        held[k_id, k_text] = x
+                        size += len(x)
+                if size >= CHUNK:
+                    yield flush()
+                    count += 1
+                    held.clear()
+                    size = 0
+        if held:
+            yield flush()
+
+    return docs.select("k_id", "k_text", "text").mapInArrow(tidied(run), PACKED)
+
+
+def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of a bucket: the entries of each chunk that are in an earlier document, and the rows of chunks as they are."""
+    heads, rows = pdf[pdf["low"].isnull()], pdf[pdf["low"].notnull()]
+    out = [(r.chunk, r.ids, r.keys, r.counts, r.at) for r in heads.itertuples()]
+    if len(rows):
+        read = lambda c, t: [np.frombuffer(x, t) for x in rows[c]]
+        ids, low = read("ids", "<i8"), read("low", "<u4")
+        k_id, k_text = np.concatenate(ids), np.concatenate(read("keys", "<i8"))
+        order = np.lexsort((k_text, k_id))
+        new = np.diff(k_id[order]) != 0
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.concatenate(([0], np.cumsum(new)))
+        rank = np.repeat(rank, np.concatenate([_wide(x, len(i)) for x, i in zip(rows["counts"], ids)]))
+        h = np.concatenate(low).astype(np.uint64) | np.concatenate(read("mid", "<u2")).astype(np.uint64) << np.uint64(32)
+        order = np.argsort(h, kind="stable")
+        h, rank = h[order], rank[order]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(h))))
+        repeat = np.zeros(len(h), bool)
+        repeat[order] = rank > least
+        edges = np.cumsum([len(x) for x in low])[:-1]
+        for chunk, at, x, mine in zip(rows["chunk"], rows["at"], low, np.split(repeat, edges)):
+            if mine.any():
+                out.append((chunk, None, None, None, np.cumsum(_wide(at, len(x)))[mine].astype("<u4").tobytes()))
+    return pd.DataFrame(out, columns=["chunk", "ids", "keys", "counts", "at"])
+
+
+def _verdict(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Of a chunk: the documents with repeats and the bits of these."""
+    head = pdf[pdf["ids"].notnull()].iloc[0]
+    ends = np.cumsum(np.frombuffer(head["counts"], np.int64))
+    repeat = np.unpackbits(np.frombuffer(head["at"], np.uint8))[: ends[-1]].astype(bool)
+    for x in pdf["at"][pdf["ids"].isnull()]:
+        repeat[np.frombuffer(x, "<u4")] = True
+    rows = [(i, k, np.packbits(r).tobytes()) for i, k, r in zip(np.frombuffer(head["ids"], "<i8"), np.frombuffer(head["keys"], "<i8"), np.split(repeat, ends[:-1])) if r.any()]
+    return pd.DataFrame(rows, columns=["k_id", "k_text", "_repeats"])
+
+
+def dedup(docs: DataFrame, *, min_words: int = 20, solid_words: int = 12, line_words: int = 4) -> DataFrame:
+    """The rows of docs with clean_text, n_units (clauses), n_removed and removed_spans (array of [start, end))."""
+    keyed = docs.withColumns(row_keys())
+    met = _chunks(keyed, partitions(docs.sparkSession), line_words).groupBy("bucket").applyInPandas(_meet, "chunk long, ids binary, keys binary, counts binary, at binary")
+    repeats = met.groupBy("chunk").applyInPandas(_verdict, "k_id long, k_text long, _repeats binary").dropDuplicates(["k_id", "k_text"])
     rows = keyed.join(repeats, ["k_id", "k_text"], "left").drop("k_id", "k_text")
     kept = [c for c in rows.columns if c != "_repeats"]
 
     def rewrite(batches):
         for batch in batches:
             texts, spans, counts = [], [], []
-            for text, rep in zip(batch.column("text").to_pylist(), batch.column("_repeats").to_pylist(), strict=True):
-                own, seen, rep = units(text or ""), set(), set(rep or ())
-                for i, u in enumerate(own):  # what a document repeats of itself
-                    if u[3] in seen:
-                        rep.add(i)
-                    elif u[2]:
-                        seen.add(u[3])
-                gone = removed(own, rep, min_words, solid_words)
+            for text, bits in zip(batch.column("text").to_pylist(), batch.column("_repeats").to_pylist(), strict=True):
+                gone = cut(text, np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool), min_words, solid_words, line_words) if bits else []
                 at, parts = 0, []
                 for a, b in gone:
                     parts.append(text[at:a])
                     at = b
                 texts.append(None if text is None else "".join([*parts, text[at:]]))
                 spans.append([list(s) for s in gone])
-                counts.append((len(own), len(gone)))
+                ends = [m.end() for m in EDGE.finditer(text or "")]
+                counts.append((len(ends) + ((ends[-1] if ends else 0) < len(text or "")), len(gone)))
             more = [pa.array(texts, pa.string()), pa.array([c[0] for c in counts], pa.int64()), pa.array([c[1] for c in counts], pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64())))]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *more], names=[*kept, "clean_text", "n_units", "n_removed", "removed_spans"])
 
