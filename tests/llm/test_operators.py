@@ -170,6 +170,12 @@ def test_passages_cut_inside_clauses(spark):
         assert [j for j, (s, e) in enumerate(at) if any(a <= s and e <= b for a, b in r.removed_spans)] == sorted(again)
 
 
+def test_short_lines_of_many_documents(spark):
+    rows = [(i, f"own{i} words{i} here{i}\nThis line is everywhere.\n\nmore{i} of{i} these{i}\nTwo words.") for i in range(20)]
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.clean_text == (r.text.replace("This line is everywhere.\n", "") if r.doc_id else r.text) for r in got)
+
+
 def test_search(spark):
     rng = random.Random(2)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(4)], 0) for i in range(300)] + [(400, None, 0), (450, [1.0, None], 0), (500, [float("nan")] * 4, 0), (None, [1.0] * 4, 0), (550, [1.0, 0.5], 0), (601, [float("inf")] * 4, 0)]

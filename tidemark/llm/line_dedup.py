@@ -165,6 +165,8 @@ def cut(text: str, repeat: np.ndarray, min_words: int, solid_words: int, line_wo
     starts = [s for s, _ in at]
     for a, b in removed(own, {with_words[i] for i in np.flatnonzero(repeat[w : w + c])}, min_words, solid_words):
         gone[np.searchsorted(starts, a) : np.searchsorted(starts, b)] = True
+    for i in np.flatnonzero(repeat[w + c : w + c + k] & repeat[w + c + k : w + c + 2 * k]):
+        gone[slice(*found[i])] = True
     spans = []
     for i, j in _runs(gone):
         (a, _), (_, b) = at[i], at[j - 1]
