@@ -176,6 +176,13 @@ def test_short_lines_of_many_documents(spark):
     assert all(r.clean_text == (r.text.replace("This line is everywhere.\n", "") if r.doc_id else r.text) for r in got)
 
 
+def test_passages_of_rows_that_share_an_id(spark):
+    passage = " ".join(f"word{i}" for i in range(40))
+    rows = [(d, f"a{n} {passage} b{n}") for n, d in enumerate([None, None, None])] + [(7, f"c{n} {passage[::-1]} d{n}") for n in range(3)]
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0), (0, 1), (0, 1), (7, 0), (7, 1), (7, 1)]
+
+
 def test_search(spark):
     rng = random.Random(2)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(4)], 0) for i in range(300)] + [(400, None, 0), (450, [1.0, None], 0), (500, [float("nan")] * 4, 0), (None, [1.0] * 4, 0), (550, [1.0, 0.5], 0), (601, [float("inf")] * 4, 0)]

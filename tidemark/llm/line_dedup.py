@@ -252,7 +252,7 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, low = read("ids", "<i8"), read("low", "<u4")
         k_id, k_text = np.concatenate(ids), np.concatenate(read("keys", "<i8"))
         order = np.lexsort((k_text, k_id))
-        new = np.diff(k_id[order]) != 0
+        new = (np.diff(k_id[order]) != 0) | (np.diff(k_text[order]) != 0)
         rank = np.empty(len(order), np.int64)
         rank[order] = np.concatenate(([0], np.cumsum(new)))
         rank = np.repeat(rank, np.concatenate([_wide(x, len(i)) for x, i in zip(rows["counts"], ids)]))
