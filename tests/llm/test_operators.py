@@ -234,6 +234,15 @@ def test_quality_cutoffs(spark):
     assert quality.judged(m.limit(0), none).count() == 0 and all(r.kept for r in quality.judged(m, none).collect())
 
 
+def test_quality_cutoffs_of_small_strata(spark):
+    rows = [(1000 * n + i, " ".join(f"w{i}x{j}" + ("###" if i >= 311 else "") for j in range(30)), lang) for n, lang in enumerate(["de", "en", "es", "fr"]) for i in range(340)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(d, int(d % 1000 < 311)) for d, _, _ in rows], "doc_id long, quality int")
+    m = quality.measured(docs)
+    kept = {r.doc_id: r.kept for r in quality.judged(m, quality.calibrate(m, labels).cache()).collect()}
+    assert all(k == (d % 1000 < 311) for d, k in kept.items())
+
+
 def test_binomial_tail(spark):
     from math import comb, log
 

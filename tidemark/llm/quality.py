@@ -2,10 +2,12 @@
 
 Every document gets counts of words, symbols, repeated lines and repeated 8-word windows, all by built-in functions
 on the row itself (no shuffle). `calibrate` then chooses, for each stratum (a value of `stratum`, null being one) and
-each rule, a cutoff above which a document is rejected. Over the labelled documents of the stratum a cutoff is safe if
-the exact binomial (Clopper-Pearson) test at level delta / (strata * rules * cutoffs) rules out that it rejects
-alpha / rules or more of the good ones; so with probability 1 - delta no stratum loses more than alpha of its good
-documents. Of the safe cutoffs the one is taken that catches most bad documents net of `price` times the good ones
+each rule, a cutoff above which a document is rejected. Alpha and delta / strata are dealt to the stratum's rules by the
+bad documents that each catches first, in the order of RULES at the strictest cutoffs; good documents have no say in
+that. A cutoff is safe if the exact binomial (Clopper-Pearson) test at the rule's part of delta / strata rules out that
+it rejects the rule's part of alpha or more of the good ones. A rule's cutoffs are nested, tested from mild to strict as
+a fixed sequence, so each has the whole level; so with probability 1 - delta no stratum loses more than alpha of its
+good documents. Of the safe cutoffs the one is taken that catches most bad documents net of `price` times the good ones
 lost, ties to the highest; where none catches any, or the labels are too few to prove anything, the rule is off.
 
 Nulls: a null text has no words (and fails the base rule). A null or repeated doc_id has its row judged all the same;
@@ -75,20 +77,21 @@ def log_binomial_tail(k: str, n: str, p: str) -> str:
 def calibrate(measures: DataFrame, labels: DataFrame, *, stratum: str = "lang", alpha: float = 0.02, delta: float = 0.05, price: float = 20.0) -> DataFrame:
     """A row per stratum: stratum and a cutoff per rule (null: off). labels: doc_id, quality (1: good)."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    share = alpha / len(RULES)
     # Documents that fail the base rule are rejected whatever the cutoffs; the others are what cutoffs are answerable for.
     rows = ratios(measures.where("not base_failed")).select("doc_id", F.col(stratum).alias("stratum"), *RULES).join(known, "doc_id")
-    sums = {"good": F.expr("count_if(quality = 1)")}
+    sums, earlier = {"good": F.expr("count_if(quality = 1)")}, "false"
     for name, (_, cuts) in RULES.items():
+        sums[f"{name}_first"] = F.expr(f"count_if(quality = 0 and {name} > {cuts[-1]}d and not ({earlier}))")
+        earlier += f" or {name} > {cuts[-1]}d"
         for i, c in enumerate(cuts):
             sums[f"{name}_{i}_good"] = F.expr(f"count_if(quality = 1 and {name} > {c}d)")
             sums[f"{name}_{i}_bad"] = F.expr(f"count_if(quality = 0 and {name} > {c}d)")
     counts = rows.groupBy("stratum").agg(*[v.alias(k) for k, v in sums.items()])
-    tests = ", ".join(f"struct('{name}' as rule, {c}d as cut, {name}_{i}_good as k, {name}_{i}_bad as bad)" for name, (_, cuts) in RULES.items() for i, c in enumerate(cuts))
-    n_tests = sum(len(cuts) for _, cuts in RULES.values())
-    each = counts.select("stratum", "good", F.expr(f"inline(array({tests}))"))
+    tests = ", ".join(f"struct('{name}' as rule, {c}d as cut, {name}_{i}_good as k, {name}_{i}_bad as bad, {name}_first / caught as part)" for name, (_, cuts) in RULES.items() for i, c in enumerate(cuts))
+    caught = counts.withColumn("caught", F.expr(f"nullif({' + '.join(f'{name}_first' for name in RULES)}, 0)"))
+    each = caught.select("stratum", "good", F.expr(f"inline(array({tests}))"))
     strata = counts.agg(F.greatest(F.count(F.lit(1)), F.lit(1)).alias("strata"))
-    safe = each.join(F.broadcast(strata)).where(f"k < {share} * good").where(F.expr(f"{log_binomial_tail('k', 'good', f'{share}d')} <= ln({delta}d / (strata * {n_tests}))")).where(f"bad > {price}d * k")
+    safe = each.join(F.broadcast(strata)).withColumn("share", F.expr(f"{alpha}d * part")).where("part > 0 and k < share * good").where(F.expr(f"{log_binomial_tail('k', 'good', 'share')} <= ln({delta}d * part / strata)")).where(f"bad > {price}d * k")
     best = safe.groupBy("stratum", "rule").agg(F.expr(f"max_by(cut, struct(bad - {price}d * k, cut))").alias("cut"))
     return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == name, F.col("cut"))).alias(f"{name}_cut") for name in RULES])
 
