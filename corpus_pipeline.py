@@ -22,8 +22,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one with the smallest doc_id stays; of rows equal in id and text, one."""
-    found = jaccard_join.join(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("k_id", "k_text").distinct()
+    """Of each component of linked documents the one with the smallest (doc_id, text hash) stays, nulls last; of rows equal in id and text, one."""
+    found = staged(jaccard_join.join(docs).select("k_id", "k_text", "root", F.col("doc_id").isNull().alias("unnamed")), "near-copies")
+    least = found.where("root is not null").groupBy("root").agg(F.min(F.struct("unnamed", "k_id", "k_text")).alias("least")).select("least.k_id", "least.k_text")
+    found = found.where("root is null").select("k_id", "k_text").unionByName(least).distinct()
     keyed = docs.withColumns(row_keys()).join(found, ["k_id", "k_text"], "left_semi")
     return keyed.dropDuplicates(["k_id", "k_text"]).select(*docs.columns)
 

@@ -260,6 +260,16 @@ def test_pages(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_near_copies_without_ids(spark):
+    import corpus_pipeline
+
+    copies = [" ".join(f"w{j}" for j in range(60)) + f" end{i}" for i in range(4)]
+    other = [" ".join(f"v{j}" for j in range(60)) + f" end{i}" for i in range(3)]
+    rows = [(None, t) for t in copies] + [(5, t) for t in other] + [(None, other[0] + " more"), (9, "alone")]
+    got = pairs(corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), ""))
+    assert sorted((str(d), t[:2]) for d, t in got) == [("5", "v0"), ("9", "al"), ("None", "w0")]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

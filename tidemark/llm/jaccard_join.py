@@ -257,9 +257,9 @@ def _rooted(known: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, *, n: int = 5, num: int = 3, den: int = 4) -> DataFrame:
-    """A row per row of docs: k_id, k_text, doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+    """A row per row of docs: k_id, k_text, doc_id, n_shingles, component_id (the smallest doc_id reachable by links), root (what names a component even without ids; null if no other document is near)."""
     sized, root = links(docs, n=n, num=num, den=den)
     real = F.when(F.col("k_id") != -(2**63), F.col("k_id"))
     least = root.groupBy("root").agg(F.min(real).alias("least"))
-    named = staged(root.join(least, "root").select("k_id", "k_text", "least"), "component-names")
-    return sized.join(named, ["k_id", "k_text"], "left").select("k_id", "k_text", real.alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("least", real).alias("component_id"))
+    named = staged(root.join(least, "root").select("k_id", "k_text", "least", "root"), "component-names")
+    return sized.join(named, ["k_id", "k_text"], "left").select("k_id", "k_text", real.alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("least", real).alias("component_id"), "root")
