@@ -7,6 +7,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,11 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a new one of this machine if all of Spark runs in this process, an error otherwise."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_tidemark_shared", None)
     if not found:
-        found = getattr(spark, "_tidemark_shared", None) or "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark._tidemark_shared = found
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = spark._tidemark_shared = "file://" + tempfile.mkdtemp(prefix="tidemark-")
     return found.rstrip("/")
 
 
@@ -36,6 +38,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write once, read back: cuts lineage, and lost executors don't change what later steps read."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    for paths in getattr(df.sparkSession, "_tidemark_open", ()):
+        paths.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
@@ -44,19 +48,63 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def release(*frames: DataFrame) -> None:
     """Delete staged tables that nothing reads any more."""
     for df in frames:
-        spark, path = df.sparkSession, df._tidemark_path
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+        _delete(df.sparkSession, df._tidemark_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+@contextmanager
+def workspace(spark: SparkSession, *keep: DataFrame) -> Iterator[list[DataFrame]]:
+    """What is staged inside goes when the block ends, but for the frames put into the list it gives."""
+    stack = spark._tidemark_open = getattr(spark, "_tidemark_open", [])
+    paths, kept = [], [*keep]
+    stack.append(paths)
+    try:
+        yield kept
+    finally:
+        stack.remove(paths)
+        for path in set(paths) - {df._tidemark_path for df in kept}:
+            _delete(spark, path)
+
+
+def unused(names: list[str], *wanted: str) -> list[str]:
+    """The wanted names, changed where a table has a column of that name already (small and large letters alike)."""
+    taken, out = {n.lower() for n in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def row_keys(id_col: str = "doc_id", text_col: str = "text") -> dict[str, Column]:
-    """Null-safe key of a document row. Rows equal in id and text are one document to the operators."""
+    """Null-safe key of a document row. Rows equal in id and text are one document to the operators. The lowest bit of k_text is set for a null id."""
     return {
         "k_id": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))),
-        "k_text": F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))),
+        "k_text": F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(-2).bitwiseOR(F.col(id_col).cast("long").isNull().cast("long")),
     }
 
 
+def key_id() -> Column:
+    """The doc_id of a row's key."""
+    return F.when(~((F.col("k_id") == -(2**63)) & (F.col("k_text").bitwiseAND(1) == 1)), F.col("k_id"))
+
+
+def boxed(docs: DataFrame, *own: str) -> DataFrame:
+    """The own columns, and `box`, a struct of all others, so that no name of theirs can meet one of an operator's."""
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in own]
+    return docs.select(*own, F.struct(*others, F.lit(0).alias("none")).alias("box"))
+
+
+def unboxed(rows: DataFrame, columns: list[str], *own: str, more: list[str] | None = None) -> DataFrame:
+    """The columns as they were before boxed(), and those named in more."""
+    return rows.select(*[F.col(c) if c in own else F.col(f"box.c{i}").alias(c) for i, c in enumerate(columns)], *(more or []))
+
+
 _caches: dict[str, Callable[[], None]] = {}
 
 

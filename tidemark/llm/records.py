@@ -12,12 +12,14 @@ masked(c) = ((c >> 15 | c << 17) + 0xa282ead8) mod 2**32, so that checksums of d
 
 Files are written and read by Spark alone (its text writer, with the frame as raw bytes, and its binaryFile reader),
 so any store and Spark's commit protocol serve, and a lost executor leaves no half-written file behind. Documents
-are dealt by ranges of ids: shard n holds ids below those of shard n + 1, in ascending order inside, ties by text.
-The index (Parquet: shard, pos, doc_id, offset, length, n_tokens) holds the place of each record; `read_at` picks
-records by it in any order.
-
-Nulls: a null text is an empty one (only the end id); a null id sorts first. Repeated rows are written again each.
-An empty table gives no records. Other columns are not looked at.
+are dealt by ranges of (id, text hash) into shards, one file each, of about `shard_bytes` of text, counted first: shard n
+holds none that ranks after those of shard n + 1. A reader holds a shard at a time, so it needs memory for one of these.
+The index (Parquet: shard, file, pos, doc_id, offset, length, n_tokens) holds the place of each record; `read_at` picks
+records by it in any order, and opens no file but those that hold them.
+
+Nulls: a null text is an empty one (only the end id); a null id sorts first. Rows of one id are ordered by the hash of
+their text; repeated rows are written again each. A text longer than a shard is one record, whole. An empty table gives
+no records. Other columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import LibraryEncoder, encoder
-from tidemark.llm.common import scratch, tokenizer_file
+from tidemark.llm.common import scratch, tidied, tokenizer_file
 
 END = b"\n"
 NULL_ID = -(2**63)
@@ -49,7 +51,7 @@ def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
     return head + struct.pack("<I", masked(head)) + payload + struct.pack("<I", masked(payload)) + END
 
 
-def frames(data: bytes):
+def frames(data: bytes | memoryview):
     """(offset, whole length, id, token ids) of each record; raises ValueError where a checksum doesn't hold."""
     at = 0
     while at < len(data):
@@ -65,56 +67,49 @@ def frames(data: bytes):
         at += 17 + n
 
 
-def write_records(docs: DataFrame, path: str, *, end_id: int = 2, tokenizer: str | None = None) -> None:
-    """Encode the texts in ascending order of doc_id and write them as record files under path/shard=N."""
+def write_records(docs: DataFrame, path: str, *, end_id: int = 2, tokenizer: str | None = None, shard_bytes: int = 32 << 20) -> None:
+    """Encode the texts in ascending order of doc_id and write them as record files under path, one for each shard."""
     tokenizer = tokenizer or tokenizer_file()
 
     def run(batches):
-        from pyspark import TaskContext
-
-        shard, lib = TaskContext.get().partitionId(), encoder(LibraryEncoder, tokenizer)
+        lib = encoder(LibraryEncoder, tokenizer)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), 512):
-                ids = lib.batch(texts[a : a + 512])
-                out = [frame(d, np.append(x, np.uint32(end_id)))[: -len(END)] for d, x in zip(batch.column(0)[a : a + 512].to_pylist(), ids, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array([shard] * len(out), pa.int32()), pa.array(out, pa.binary())], names=["shard", "frame"])
+            for a, b, ids, starts in lib.segments(batch.column(1), end_id):
+                names = batch.column(0).slice(a, b - a).to_pylist()
+                out = [frame(d, ids[i:j])[: -len(END)] for d, i, j in zip(names, starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+                for i in range(0, len(out), 1024):
+                    yield pa.RecordBatch.from_arrays([pa.array(out[i : i + 1024], pa.binary())], names=["frame"])
 
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    out = dealt.mapInArrow(run, "shard int, frame binary")
-    # The writer's line end is the record's last byte.
-    # Each task is one shard, so its rows are in order already and no sort by the folder's column may come between.
-    conf, key = docs.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
-    before = conf.get(key, "0")
-    conf.set(key, "2")
-    try:
-        out.select(F.col("frame").cast("string").alias("value"), "shard").write.partitionBy("shard").option("lineSep", "\n").text(path)
-    finally:
-        conf.set(key, before)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = rows.repartitionByRange(1 + size // shard_bytes, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    # The writer's line end is the record's last byte. A task's file carries its number, which is the shard's.
+    dealt.mapInArrow(tidied(run), "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", 0).text(path)
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select(F.regexp_extract(F.col("path"), r"shard=(\d+)", 1).cast("int").alias("shard"), "content")
+def _files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    name = F.element_at(F.split("path", "/"), -1)
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(paths).select(F.regexp_extract(name, r"^part-(\d+)", 1).cast("int").alias("shard"), name.alias("file"), "content")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record, its checksums proved: shard, pos, doc_id, offset, length, n_tokens, ids (u32 little-endian)."""
+    """Every record, its checksums proved: shard, file, pos, doc_id, offset, length, n_tokens, ids (u32 little-endian)."""
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                shard, rows = batch.column(0)[i].as_py(), []
-                for pos, (at, n, d, ids) in enumerate(frames(batch.column(1)[i].as_py())):
-                    rows.append((shard, pos, d, at, n, len(ids), ids.tobytes()))
+                shard, file, rows = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), []
+                for pos, (at, n, d, ids) in enumerate(frames(memoryview(batch.column(2)[i].as_buffer()))):
+                    rows.append((shard, file, pos, d, at, n, len(ids), ids.tobytes()))
                     if len(rows) == 1024:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
                         rows = []
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-    names = ["shard", "pos", "doc_id", "offset", "length", "n_tokens", "ids"]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return _files(spark, path).mapInArrow(run, "shard int, pos long, doc_id long, offset long, length long, n_tokens long, ids binary")
+    names = ["shard", "file", "pos", "doc_id", "offset", "length", "n_tokens", "ids"]
+    kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return _files(spark, path).mapInArrow(tidied(run), "shard int, file string, pos long, doc_id long, offset long, length long, n_tokens long, ids binary")
 
 
 def write_index(spark: SparkSession, path: str, index: str) -> DataFrame:
@@ -125,8 +120,11 @@ def write_index(spark: SparkSession, path: str, index: str) -> DataFrame:
 
 
 def read_at(wanted: DataFrame, path: str) -> DataFrame:
-    """The records at rows (shard, offset, length) of an index, in any order: doc_id, ids. Files are cut in the JVM."""
-    cut = wanted.join(_files(wanted.sparkSession, path), "shard").select(F.expr("substring(content, cast(offset + 1 as int), cast(length as int))").alias("frame"))
+    """The records at rows (file, offset, length) of an index, in any order: doc_id, ids. Files are cut in the JVM; only those asked for are read (their names, one for each shard at most, come to the driver)."""
+    found = [f"{path}/{r.file}" for r in wanted.select("file").distinct().collect()]
+    if not found:
+        return wanted.sparkSession.createDataFrame([], "doc_id long, ids array<long>")
+    cut = wanted.join(_files(wanted.sparkSession, found).drop("shard"), "file").select(F.expr("substring(content, cast(offset + 1 as int), cast(length as int))").alias("frame"))
 
     def run(batches):
         for batch in batches:
