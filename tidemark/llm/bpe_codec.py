@@ -1,26 +1,21 @@
 """Operator 8: byte-pair encoding and decoding with contiguous rank arrays.
 
 One pass, no shuffle: each task reads its texts, encodes each distinct chunk once and decodes the ids again.
-Nulls are empty texts (no ids, empty decoding); repeated rows give repeated results; other columns don't matter.
+Nulls are empty texts (no ids, empty decoding); repeated rows give repeated results, an empty table an empty one; texts
+are taken whole at any length, some megabytes of short ones at a time; other columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import RankEncoder, encoder
-from tidemark.llm.common import tokenizer_file
-
-
-def small(batches, rows: int = 256):
-    """Batches of few rows: ids as Python numbers take many times the text's room."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+from tidemark.llm.common import tidied, tokenizer_file
 
 
 def encode_decode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -29,12 +24,11 @@ def encode_decode(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches):
         bpe = encoder(RankEncoder, path)
-        for batch in small(batches):
-            ids = bpe.batch(batch.column(1).to_pylist())
-            texts = [bpe.decode(x.tolist()) for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+        for batch in batches:
+            for a, b, ids, starts in bpe.segments(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32))), pa.array(bpe.decoded(ids, starts), pa.string())], names=["doc_id", "ids", "decoded"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidied(run), "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, *, path: str | None = None) -> DataFrame:
@@ -43,11 +37,10 @@ def digests(docs: DataFrame, *, path: str | None = None) -> DataFrame:
 
     def run(batches):
         bpe = encoder(RankEncoder, path)
-        decimal: dict[int, str] = {i: str(i) for i in bpe.bytes_of}
-        for batch in small(batches):
-            ids = [x.tolist() for x in bpe.batch(batch.column(1).to_pylist())]
-            sha = [hashlib.sha256(",".join(map(decimal.__getitem__, x)).encode()).hexdigest() for x in ids]
-            back = [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(sha), pa.array(back)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for batch in batches:
+            for a, b, ids, starts in bpe.segments(batch.column(1)):
+                sha = [hashlib.sha256(x).hexdigest() for x in bpe.decimal(ids, starts)]
+                back = [hashlib.sha256(x.encode()).hexdigest() for x in bpe.decoded(ids, starts)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(starts), pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
