@@ -1,9 +1,9 @@
 """Operator 5: best-fit packing by length patterns and non-negative least squares.
 
 Only the histogram of piece lengths (at most `capacity` bins, whatever the input) reaches the driver. There patterns
-of one to three lengths that fill a sequence are enumerated, repeat counts fitted to the histogram by non-negative
-least squares (accelerated projected gradient, the columns kept sparse), rounded down, and what is left goes by best
-fit, longest first, into the gaps. All of this is in counts of equal lengths, so the plan's size depends on the
+of few documents are enumerated (pairs of lengths with the longest third that fits, and short lengths repeated), repeat
+counts fitted to the histogram by non-negative least squares (accelerated projected gradient, the columns kept sparse),
+rounded to whole repeats, and what is left goes by best fit, longest first, into the gaps and new sequences. All of this is in counts of equal lengths, so the plan's size depends on the
 capacity only. Pieces then find their place by their number among the pieces of their length: no piece is shuffled
 with its tokens, and a length that a third of all pieces share is numbered by task, not in one task.
 
@@ -36,65 +36,101 @@ def pieces(docs: DataFrame, *, capacity: int = 2048, end_id: int = 0, tokenizer:
     def run(batches):
         from pyspark import TaskContext
 
-        task, lib, seen = TaskContext.get().partitionId(), encoder(LibraryEncoder, tokenizer), defaultdict(int)
+        task, lib, seen = TaskContext.get().partitionId(), encoder(LibraryEncoder, tokenizer), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a in range(0, len(texts), 512):
-                rows = []
-                for d, x in zip(names[a : a + 512], lib.batch(texts[a : a + 512]), strict=True):
-                    x = np.append(x, np.uint32(end_id)).astype("<u4")
-                    cuts = [0, *range(len(x) % capacity or capacity, len(x) + 1, capacity)]
-                    for n, (i, j) in enumerate(zip(cuts, cuts[1:])):
-                        rows.append((task, d, n, i, j - i, x[i:j].tobytes(), seen[j - i]))
-                        seen[j - i] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=PIECE_NAMES)
+            for a, _, ids, starts in lib.segments(batch.column(1), end_id):
+                doc, piece, start, length = _cut(np.diff(starts), capacity)
+                order = np.argsort(length, kind="stable")
+                counts = np.bincount(length, minlength=capacity + 1)
+                nth = np.empty(len(length), np.int64)
+                nth[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(seen, counts)
+                seen += counts
+                offsets = 4 * np.append(starts[doc] + start, starts[-1])
+                for i in range(0, len(doc), ROWS):
+                    at, some = offsets[i : i + ROWS + 1], slice(i, i + ROWS)
+                    cut = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at - at[0]).astype(np.int32)), pa.py_buffer(ids[at[0] // 4 : at[-1] // 4].astype("<u4"))])
+                    cols = [np.full(len(cut), task), batch.column(0).take(pa.array(a + doc[some])), piece[some], start[some], length[some], cut, nth[some]]
+                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(cols, kinds)], names=PIECE_NAMES)
 
     kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidied(run), PIECES)
 
 
+def _cut(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each piece: its document's place, its number, start and length."""
+    first = (lengths - 1) % capacity + 1
+    counts = 1 + (lengths - first) // capacity
+    doc = np.repeat(np.arange(len(lengths)), counts)
+    piece = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return doc, piece, np.where(piece, first[doc] + (piece - 1) * capacity, 0), np.where(piece, capacity, first[doc])
+
+
 PIECE_NAMES = [x.split()[0] for x in PIECES.split(", ")]
+#: Pieces in a batch sent back.
+ROWS = 4096
 
 
 @lru_cache(2)
-def patterns(capacity: int, lengths: tuple[int, ...]) -> np.ndarray:
-    """Rows of three lengths (0: none) that fill a sequence exactly, among the given lengths."""
-    have = np.zeros(capacity + 1, bool)
-    have[list(lengths)] = True
-    out = [(capacity, 0, 0)] if have[capacity] else []
-    ls = np.array(sorted(lengths), np.int64)
-    for a in ls[::-1]:
+def patterns(capacity: int, lengths: tuple[int, ...], most: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns of few documents among the given lengths: rows of three lengths (0: none), and how often the first repeats.
+
+    For every two lengths that go together, the third is the longest that still fits; of a longest length's patterns those
+    that leave the least room are kept (none at all, where lengths are many). For a short length also as many of it as
+    fit, with the two longest that do after them. Beyond `most`, the fullest ones stay, and one for each longest length.
+    """
+    ls = np.array(sorted(lengths), np.int32)
+    if not len(ls):
+        return np.zeros((0, 3), np.int32), np.zeros(0, np.int32)
+    fits = np.zeros(capacity + 1, np.int32)  # the longest length up to a room
+    fits[ls] = ls
+    fits = np.maximum.accumulate(fits)
+    rows, times = [], []
+    for a in ls[::-1].tolist():
         rest = capacity - a
-        if 0 < rest <= a and have[rest]:
-            out.append((a, rest, 0))
-        b = ls[(ls <= min(a, rest - 1)) & (2 * ls >= rest)]
-        b = b[have[rest - b]]
-        out += [(a, x, rest - x) for x in b]
-    return np.array(out, np.int64).reshape(-1, 3)
-
-
-def fit(hist: np.ndarray, pats: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Repeat counts x >= 0 that least squares give for pats x = hist, each length weighted by its size."""
+        b = np.append(ls[ls <= min(a, rest)], 0)[-most // len(ls) - 2 :]
+        c = np.where(b > 0, fits[np.minimum(b, rest - b)], 0)
+        many = capacity // a
+        second = int(fits[capacity - many * a])
+        third = int(fits[capacity - many * a - second])
+        new = np.stack([np.full(len(b), a, np.int32), b, c], 1)
+        waste = rest - b - c
+        keep = waste == waste.min()
+        rows.append(np.concatenate([new[keep], [[a, second, third]]]).astype(np.int32))
+        times.append(np.append(np.ones(int(keep.sum()), np.int32), many))
+    pats, times = np.concatenate(rows), np.concatenate(times).astype(np.int32)
+    waste = capacity - pats.sum(1) - (times - 1) * pats[:, 0]
+    if len(pats) > most:
+        first = np.unique(pats[:, 0][::-1], return_index=True)[1]
+        keep = np.zeros(len(pats), bool)
+        keep[np.argsort(waste, kind="stable")[:most]] = True
+        keep[len(pats) - 1 - first] = True
+        pats, times = pats[keep], times[keep]
+    return pats, times
+
+
+def fit(hist: np.ndarray, pats: np.ndarray, times: np.ndarray, rounds: int = 300) -> np.ndarray:
+    """Repeat counts x >= 0 that least squares give for pats x = hist, each length weighted by its size, and the room left over being a further row, wanted 0."""
     n, k = len(hist), len(pats)
     if not k:
         return np.zeros(0)
-    w = np.arange(n, dtype=float)
-    w[0] = 0
+    w2 = (np.arange(n) / n) ** 2
     scale = max(1.0, float(hist.max()))
     h = hist / scale
+    h[0] = 0
 
-    def up(x):  # tokens of each length that the repeats use
-        return sum(np.bincount(pats[:, i], x, n) for i in range(3))
+    def up(x):  # of each length, how many the repeats use
+        out = np.bincount(pats[:, 0], x * times, n) + np.bincount(pats[:, 1], x, n) + np.bincount(pats[:, 2], x, n)
+        out[0] = 0
+        return out
 
     def down(r):
-        return r[pats[:, 0]] + r[pats[:, 1]] + r[pats[:, 2]]
+        return times * r[pats[:, 0]] + r[pats[:, 1]] + r[pats[:, 2]]
 
-    w2 = (w / n) ** 2
     v = np.random.default_rng(0).random(k)
     for _ in range(30):  # largest eigenvalue, for the step
         v = down(w2 * up(v))
         v /= (top := np.linalg.norm(v)) or 1.0
-    step = 1 / (1.05 * top)
+    step = 1 / (1.05 * top) if top else 1.0
     x = y = np.zeros(k)
     t = 1.0
     for _ in range(rounds):
@@ -104,26 +140,50 @@ def fit(hist: np.ndarray, pats: np.ndarray, rounds: int = 400) -> np.ndarray:
     return x * scale
 
 
-def plan(hist: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence, how many such sequences), using up the histogram exactly."""
+def rounded(hist: np.ndarray, pats: np.ndarray, times: np.ndarray, x: np.ndarray) -> tuple[list[tuple[tuple[int, ...], int]], np.ndarray]:
+    """Whole repeats of the patterns within the histogram, and what is left of it. What one pattern's count has beyond a whole number is carried to the next, the patterns of a longest length being neighbours."""
+    left, out, carry = hist.astype(np.int64).tolist(), [], 0.0
+    at = np.flatnonzero(x > 1e-4)
+    for (a, b, c), m, share in zip(pats[at].tolist(), times[at].tolist(), x[at].tolist()):
+        carry = min(carry, 1.0) + share
+        if carry < 1:
+            continue
+        need = {a: m}
+        for q in (b, c):
+            if q:
+                need[q] = need.get(q, 0) + 1
+        if (n := min(int(carry), *(left[q] // k for q, k in need.items()))) > 0:
+            carry -= n
+            out.append(((a,) * m + tuple(q for q in (b, c) if q), n))
+            for q, k in need.items():
+                left[q] -= n * k
+    return out, np.array(left, np.int64)
+
+
+def plan(hist: np.ndarray, capacity: int, shares: tuple[float, ...] = (1.0, 0.9, 0.75)) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths of a sequence, how many such sequences), using up the histogram exactly. Of the shares of the fitted counts that are rounded, the one that needs the fewest sequences in all is taken, ties to the largest: what is left needs some choice of lengths to fill gaps."""
     left = hist.astype(np.int64).copy()
     left[0] = 0
-    out: list[tuple[tuple[int, ...], int]] = []
-    pats = patterns(capacity, tuple(np.nonzero(left)[0].tolist()))
-    x = np.floor(fit(left, pats) + 1e-6).astype(np.int64)
-    for i in np.argsort(-x, kind="stable"):
-        if x[i] < 1:
-            break
-        p, need = [int(a) for a in pats[i] if a], defaultdict(int)
-        for a in p:
-            need[a] += 1
-        if n := min(int(x[i]), *(int(left[a]) // c for a, c in need.items())):
-            out.append((tuple(p), n))
-            for a, c in need.items():
-                left[a] -= n * c
-    # The rest by best fit, longest first: groups of like sequences by the room they have.
-    rooms: dict[int, list[list]] = {}
-    order: list[int] = []
+    pats, times = patterns(capacity, tuple(np.flatnonzero(left).tolist()))
+    x = fit(left, pats, times)
+    best: list[tuple[tuple[int, ...], int]] | None = None
+    for share in shares:
+        out, rest = rounded(left, pats, times, share * x)
+        filled = residual(rest, capacity, out)
+        out = out + filled
+        if best is None or sum(n for _, n in out) < sum(n for _, n in best):
+            best = out
+    return best or []
+
+
+def residual(left: np.ndarray, capacity: int, opened: list) -> list[tuple[tuple[int, ...], int]]:
+    """By best fit, longest first: groups of like sequences by the room they have. Sequences in `opened` that have room are filled up first and leave the list then."""
+    rooms: dict[int, list[list]] = defaultdict(list)
+    for p, n in [o for o in opened if sum(o[0]) < capacity]:
+        rooms[capacity - sum(p)].append([p, n])
+    opened[:] = [o for o in opened if sum(o[0]) == capacity]
+    rooms = dict(rooms)
+    order: list[int] = sorted(rooms)
     for a in range(capacity, 0, -1):
         n = int(left[a])
         while n:
@@ -148,7 +208,7 @@ def plan(hist: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
                     rooms[room] = []
                     bisect.insort(order, room)
                 rooms[room].append([p, c])
-    return out + [(tuple(p), c) for group in rooms.values() for p, c in group]
+    return [(tuple(p), c) for group in rooms.values() for p, c in group]
 
 
 def slots(planned: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
