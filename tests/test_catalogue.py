@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from tidemark.plans import catalogue
+from tidemark.plans import registry
 
 D = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -21,10 +21,10 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", list(catalogue.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query(spark, con, name):
-    got = catalogue.queries()[name](spark, D).toArrow()
-    want = con.execute(catalogue.oracle_sql()[name]).to_arrow_table()
+    got = registry.queries()[name](spark, D).toArrow()
+    want = con.execute(registry.oracle_sql()[name]).to_arrow_table()
     cols = sorted(got.column_names)
     assert cols == sorted(want.column_names)
     assert rows(got, cols) == rows(want, cols)

@@ -69,7 +69,24 @@ def route_key(namespace: Column, key: Column) -> Column:
     return F.concat(namespace, F.lit("|"), key)
 
 
+def document_id(key: Column) -> Column:
+    """The id of a record in the document sink: the digest of its route key."""
+    return F.sha2(key, 256)
+
+
+def normalised(c: Column, kind: str) -> Column:
+    """A value as comparisons see it: times in UTC ISO text, JSON text with sorted keys, others as they are."""
+    if kind.startswith("timestamp"):
+        return iso_utc(c)
+    return F.coalesce(canonical_json(c), c) if kind == "json" else c
+
+
 def stable_shard(text: Column, shards: int) -> Column:
-    """sha256(text) as a number, modulo shards: digit groups folded so that no step exceeds 64 bits."""
+    """sha256(text) as a number, modulo shards: digit groups folded one after the other, so that no step exceeds 64 bits and all is one expression without a loop."""
+    if shards <= 0:
+        raise ValueError("shards must be above 0")
     h = F.sha2(text.cast("string"), 256)
-    return F.aggregate(F.sequence(F.lit(0), F.lit(15)), F.lit(0).cast("long"), lambda acc, i: (acc * 65536 + F.conv(F.substring(h, i * 4 + 1, F.lit(4)), 16, 10).cast("long")) % shards)
+    out = F.lit(0).cast("long")
+    for i in range(0, 64, 8):  # (2**32 * shards stays below 2**63 for any count under 2**31)
+        out = (out * (1 << 32) + F.conv(F.substring(h, i + 1, 8), 16, 10).cast("long")) % shards
+    return out

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DOCUMENT, RELATIONAL, REJECT = "document", "relational", "reject"
+REGISTRY = "route_key string, destination string, checksum string, size long, updated_at string, sync_state string, cleanup_from string"
 
 
 def destination(size: Column, lower: int, upper: int, overhead: int = 0) -> Column:
@@ -56,9 +57,23 @@ def writes(acted: DataFrame) -> dict[str, DataFrame]:
     return {"upsert": up, "delete": old}
 
 
-def statistics(acted: DataFrame, by: list[str]) -> DataFrame:
+def statistics(acted: DataFrame, by: list[str], ok: Column | None = None, cleaned: Column | None = None, late: Column | None = None, seen: Column | None = None) -> DataFrame:
+    """Disposition counters. ok: the write succeeded; cleaned: the old copy's delete did; late: out of order; seen: in the checkpoint already."""
     names = ["reject", "finalize", "skip", "insert", "update", "move"]
-    return acted.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), *[F.count_if(F.col("action") == n).alias(f"n_{n}") for n in names])
+    true, false = F.lit(True), F.lit(False)
+    ok, cleaned, late, seen = (true if ok is None else ok), (true if cleaned is None else cleaned), (false if late is None else late), (false if seen is None else seen)
+    live, action = ~seen, F.col("action")
+    writes = live & ok & action.isin("insert", "update", "move")
+    return acted.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("records"),
+        *[F.count_if(live & (action == n)).alias(f"n_{n}") for n in names],
+        F.count_if(writes & (F.col("destination") == DOCUMENT)).alias("document_writes"),
+        F.count_if(writes & (F.col("destination") == RELATIONAL)).alias("relational_writes"),
+        F.count_if(seen).alias("checkpoint_skipped"),
+        F.count_if(live & late).alias("out_of_order"),
+        F.count_if(live & ~ok & (action != "reject")).alias("failed"),
+        F.count_if(live & ok & ~cleaned & action.isin("move", "finalize")).alias("cleanup_failed"),
+    )
 
 
 def owners(keys: DataFrame, namespaces: DataFrame) -> DataFrame:

@@ -2,39 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import convert, text
 from tidemark.operators import control, incremental, mapping, merge, metrics, reconcile, routing
 from tidemark.operators.mapping import Mapping, Rule
+from tidemark.plans.registry import query
 from tidemark.sources.store import by_keys, table
 from tidemark.streaming import streams
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def queries() -> dict:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
-
-
 def values(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
@@ -93,7 +70,8 @@ def recon_checksum(spark, d):
 
 
 @query("""with a as (select '[' || o_orderkey || ']' k, sha256('{"k":' || o_orderkey || ',"p":' || cast(round(o_totalprice * 100) as bigint) || ',"s":"' || o_orderstatus || '"}') d from orders),
-b as (select substr(sha256(k), 1, 2) b, count(*) n, sha256(string_agg(k || '|' || d || chr(10), '' order by k)) d from a group by 1)
+b2 as (select substr(sha256(k), 1, 2) b, count(*) n, sha256(string_agg(k || '|' || d || chr(10), '' order by k)) d from a group by 1),
+b as (select substr(b, 1, 1) b, sum(n) n, sha256(string_agg(b || '|' || d || chr(10), '' order by b)) d from b2 group by 1)
 select cast(sum(n) as bigint) n_rows, sha256(string_agg(b || '|' || d || chr(10), '' order by b)) checksum from b""")
 def recon_checksum_buckets(spark, d):
     return reconcile.bucket_folds(_digested(_orders(spark, d)), [])
@@ -117,9 +95,7 @@ def sample_validate(spark, d):
 (select count(*) from tgt) - (select count(*) from src where k % 10 <> 3) delta""")
 def count_delta(spark, d):
     src = _orders(spark, d)
-    a = src.agg(F.count(F.lit(1)).alias("source_rows"), F.count_if(F.expr("k % 10 <> 3")).alias("expected_rows"))
-    b = _perturbed(src).agg(F.count(F.lit(1)).alias("target_rows"))
-    return a.join(F.broadcast(b)).withColumn("delta", F.col("target_rows") - F.col("expected_rows"))  # one row each
+    return reconcile.count_check(src, _perturbed(src), F.expr("k % 10 = 3"), F.lit(False))
 
 
 @query("""select ns job, count(*) n_rows, bool_or(bad) failed from (select o_orderstatus ns, o_orderkey % 97 = 0 and o_orderstatus <> 'P' bad from orders) group by ns""")
@@ -465,7 +441,8 @@ def route_next_registry(spark, d):
 
 
 @query(ROUTED_SQL + """select destination, count(*) records, count(*) filter (action = 'reject') n_reject, count(*) filter (action = 'finalize') n_finalize, count(*) filter (action = 'skip') n_skip, count(*) filter (action = 'insert') n_insert,
-count(*) filter (action = 'update') n_update, count(*) filter (action = 'move') n_move from acted group by 1""")
+count(*) filter (action = 'update') n_update, count(*) filter (action = 'move') n_move, count(*) filter (destination = 'document' and action in ('insert', 'update', 'move')) document_writes, count(*) filter (destination = 'relational' and action in ('insert', 'update', 'move')) relational_writes,
+0::bigint checkpoint_skipped, 0::bigint out_of_order, 0::bigint failed, 0::bigint cleanup_failed from acted group by 1""")
 def route_statistics(spark, d):
     rec = _records(spark, d)
     return routing.statistics(routing.actions(rec, _registry(rec)), ["destination"])
@@ -591,11 +568,12 @@ def metrics_rollup(spark, d):
     return metrics.rollup(table(spark, d, "events").withColumn("v", cents("value")), ["event_type"], "v")
 
 
-@query("""with s as (select event_type, count(*)::varchar v from events group by 1) select '_1rows_seen' as name, 0 part, '# HELP _1rows_seen metric' line union all select '_1rows_seen', 1, '# TYPE _1rows_seen gauge'
-union all select '_1rows_seen', 2, '_1rows_seen{type="' || event_type || '\\"q\\\\"} ' || v from s""")
+@query("""with s as (select event_type, count(*)::varchar v from events group by 1) select 'metric_1rows_seen' as name, 0 part, '# HELP metric_1rows_seen metric_1rows_seen' line union all select 'metric_1rows_seen', 1, '# TYPE metric_1rows_seen gauge'
+union all select 'metric_1rows_seen', 2, 'metric_1rows_seen{type="' || event_type || '\\"q\\\\"} ' || v || '.0' from s""")
 def prom_text(spark, d):
-    s = table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).cast("string").alias("value"))
-    return metrics.exposition(s.select(F.lit("1rows-seen").alias("name"), F.lit("type").alias("label"), F.concat("event_type", F.lit('"q\\')).alias("label_text"), "value"))
+    s = table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).cast("double").alias("value"))
+    samples = s.select(F.lit("1rows-seen").alias("name"), F.lit("gauge").alias("kind"), F.create_map(F.lit("type"), F.concat("event_type", F.lit('"q\\'))).alias("labels"), "value", F.lit(1).alias("at"), F.lit("").alias("description"))
+    return metrics.text_lines(metrics.collected(samples))
 
 
 # Streaming
@@ -603,8 +581,9 @@ def prom_text(spark, d):
 @query(LATEST_SQL)
 def stream_cdc(spark, d):
     """The change stream drained by Structured Streaming; must equal cdc_latest."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
-    run = f"{base}/stream-{spark.sparkContext.applicationId}-{abs(hash((d, id(spark))))}-{tempfile._get_candidate_names().__next__()}"
+    from tidemark.plans.transfer import scratch
+
+    run = scratch(spark)
     schema = table(spark, d, "events").schema
     source = streams.file_changes(spark, d, schema, "events.parquet").withColumn("gone", F.expr("event_type = 'click'"))
     live = streams.run_changes(source, f"{run}/table", f"{run}/checkpoint", ["user_id"], ["ts", "event_id"], "gone")
