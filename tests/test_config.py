@@ -57,6 +57,8 @@ def test_jobs_and_gates():
     job = {"name": "j", "api": "wide", "namespace": "n", "keys": ["k"]}
     assert "jobs: j is there twice" in faults({"jobs": [job, job]})
     assert any("require_gate" in f for f in faults({"run": {"require_gate": True}, "jobs": [job]}))
+    assert any("isn't a name of a wide source" in f for f in faults({"jobs": [job | {"keys": ["a b"]}]}))
+    assert config.parsed({"jobs": [job | {"api": "document", "keys": ["a b.c"]}]}).jobs
     assert faults({}) == ["neither mappings nor jobs"]
     ok = config.parsed({"run": {"require_gate": True, "environment": "prod", "gate": "g", "gate_scope": "s"}, "jobs": [job]})
     assert ok.fingerprint() == config.parsed({"run": {"log_format": "json"}, "jobs": [job]}).fingerprint() != config.parsed({"jobs": [job | {"namespace": "m"}]}).fingerprint()

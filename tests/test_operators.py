@@ -335,3 +335,21 @@ def test_source_adapters(spark, tmp_path):
 
 def test_fold_digits():
     assert [reconcile.fold_digits(n) for n in (0, 10**5, 10**7, 10**12)] == [1, 1, 2, 7]
+
+
+def test_json_states(spark, tmp_path):
+    assert store.json_state(spark, f"file://{tmp_path}/none.json") == {}
+    for text, want in (('{"a":\n{"b": 1}}', {"a": {"b": 1}}), ("{", None), ("[1]", None), ("", None)):
+        path = tmp_path / f"s{abs(hash(text))}.json"
+        path.write_text(text)
+        if want is None:
+            with pytest.raises(ValueError):
+                store.json_state(spark, f"file://{path}")
+        else:
+            assert store.json_state(spark, f"file://{path}") == want
+
+
+def test_sessions():
+    from tidemark.session import SETTINGS, session
+
+    assert session("tests").conf.get("spark.sql.session.timeZone") == SETTINGS["spark.sql.session.timeZone"]

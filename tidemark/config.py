@@ -19,8 +19,8 @@ from tidemark.operators.mapping import Mapping as Projection
 from tidemark.operators.mapping import Rule
 
 REQUIRED = object()
-#: Identifiers of either kind of target; the second allows no capitals in its unquoted form, so both are one pattern there.
-DIALECTS = {"relational": IDENTIFIER, "wide": re.compile(r"[A-Za-z][A-Za-z0-9_]{0,47}")}
+#: Identifiers by kind of source or target: a document's fields are any names, dots part their levels.
+DIALECTS = {"relational": IDENTIFIER, "wide": re.compile(r"[A-Za-z][A-Za-z0-9_]{0,47}"), "document": re.compile(r"[^.\0]+(\.[^.\0]+)*", re.S)}
 
 
 class ConfigError(ValueError):
@@ -242,6 +242,8 @@ def parsed(raw: Any) -> Config:
     jobs = [section(j, JOB, f"jobs[{i}]", faults) for i, j in enumerate(raw.get("jobs") or [])]
     for i, j in enumerate(jobs):
         _sharded(j, f"jobs[{i}]", faults)
+        pattern = DIALECTS.get(j.get("api"))
+        faults += [f"jobs[{i}]: {n!r} isn't a name of a {j['api']} source" for n in (*j.get("keys", []), j.get("incremental_field")) if pattern and n and not pattern.fullmatch(n)]
     names = [j.get("name") for j in jobs]
     faults += [f"jobs: {n} is there twice" for n in sorted({n for n in names if n and names.count(n) > 1})]
     if not mappings and not jobs:

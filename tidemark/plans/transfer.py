@@ -299,6 +299,18 @@ def state_prefix(spark, d):
     return store.state(rows, "n1", "v1:a1").select("record_key", "payload")
 
 
+@query("select record_key, payload from (select 'r' || s_suppkey record_key, s_name payload, s_suppkey % 2 n from supplier) where n = 0 and record_key in ('r2', 'r3', 'r4')")
+def state_get(spark, d):
+    rows = table(spark, d, "supplier").selectExpr("concat('n', s_suppkey % 2) namespace", "concat('r', s_suppkey) record_key", "s_name payload")
+    return store.state_of(rows, "n0", ["r2", "r3", "r4", "none"]).select("record_key", "payload")
+
+
+@query("""select event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' utc, '{"a":1,"b":' || event_id || '}' doc, event_type kind from events""")
+def normalised_values(spark, d):
+    rows = table(spark, d, "events").withColumn("doc", F.expr("""concat('{"b": ', event_id, ', "a":1 }')"""))
+    return rows.select("event_id", text.normalised(F.col("ts"), "timestamp").alias("utc"), text.normalised(F.col("doc"), "json").alias("doc"), text.normalised(F.col("event_type"), "string").alias("kind"))
+
+
 @query("select 'v1:' || r_name || '->T:shard=' || r_regionkey as work_key, 'run:v2:' || r_name as progress_key from region")
 def work_keys(spark, d):
     return table(spark, d, "region").select(control.work_key("v1", F.col("r_name"), F.col("r_regionkey"), F.lit("T")).alias("work_key"), control.progress_key(F.lit("run"), control.work_key("v2", F.col("r_name"))).alias("progress_key"))

@@ -90,6 +90,26 @@ def state(df: DataFrame, namespace: str, prefix: str | None = None) -> DataFrame
     return (rows.where(F.col("record_key").startswith(prefix)) if prefix else rows).orderBy("record_key")
 
 
+def state_of(df: DataFrame, namespace: str, keys: list[str]) -> DataFrame:
+    """Control rows of some keys (a few, named by the caller); keys that aren't there have no row."""
+    return df.where((F.col("namespace") == namespace) & F.col("record_key").isin(keys))
+
+
+def json_state(spark: SparkSession, path: str) -> dict:
+    """A whole JSON file as a state: empty where there is none, an error where it can't be read as an object."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return {}
+    text = spark.read.text(path, wholetext=True).first()
+    try:
+        found = json.loads(text[0] if text else "")
+    except ValueError as e:
+        raise ValueError(f"{path} is corrupt") from e
+    if not isinstance(found, dict):
+        raise ValueError(f"{path} isn't a state")
+    return found
+
+
 def missing_columns(spark: SparkSession, name: str, wanted: list[str]) -> list[str]:
     """Columns wanted that the catalog's table lacks; all of them if there is no table."""
     have = {c.name for c in spark.catalog.listColumns(name)} if spark.catalog.tableExists(name) else set()
