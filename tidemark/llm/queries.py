@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe_codec, html_text, impact_search, jaccard_join, language, licenses, line_dedup, packing, quality, records
+from tidemark.llm import bpe_codec, html_text, impact_search, jaccard_join, language, licenses, line_dedup, oracles, packing, quality, records
 from tidemark.llm.common import staged, table
 
 
@@ -54,7 +54,7 @@ def op10_quality(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
-    import corpus_pipeline
+    import corpus_pipeline  # at the repository's top, beside the entry
 
     return corpus_pipeline.run(spark, d)
 
@@ -64,4 +64,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
