@@ -7,7 +7,10 @@ its most proportionate languages, one, two, and so on, are fitted the same way a
 likelihood is kept. The whole text counts, upper and lower case alike; only letters and the gaps between them do.
 
 Nulls: a null text, or one without a letter, is `und` with score 0, as is everything if nothing was learned. Rows with
-a null lang teach nothing. Repeated rows count and are predicted again each.
+a null lang teach nothing. Repeated rows count and are predicted again each. Of languages with equal proportions the
+first by name is taken. A long text is counted whole, in an array of fixed size. An empty table gives an empty one. The
+model (BUCKETS numbers for each language) is broadcast: the languages are counted first, more than MOST raise an error.
+Other columns are not looked at; those asked for by `keep` come along, with _ after a name that a result has.
 """
 
 from __future__ import annotations
@@ -19,9 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import claim_cache, tidied
+from tidemark.llm.common import claim_cache, tidied, unused
 
-BUCKETS = 1 << 16
+#: Trigram buckets, and the languages a model may have (it then takes 200 MB).
+BUCKETS, MOST = 1 << 16, 400
 _letters: list[np.ndarray] = []
 
 
@@ -97,14 +101,18 @@ def learn(rows: DataFrame) -> Model:
         claim_cache("language model", lambda: None)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for t, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                at, n = trigrams(t)
-                sums.setdefault(lang, np.zeros(BUCKETS, np.int64))[at] += n
+            for a in range(0, batch.num_rows, 512):
+                for t, lang in zip(*(batch.column(i).slice(a, 512).to_pylist() for i in (0, 1)), strict=True):
+                    at, n = trigrams(t)
+                    sums.setdefault(lang, np.zeros(BUCKETS, np.int64))[at] += n
         for lang, c in sums.items():
             at = np.nonzero(c)[0]
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(c[at])], names=["lang", "bucket", "n"])
 
-    got = rows.where("lang is not null").select("text", "lang").mapInArrow(tidied(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    rows = rows.where("lang is not null")
+    if rows.select("lang").distinct().limit(MOST + 1).count() > MOST:
+        raise ValueError(f"lang has more than {MOST} values: a column of languages is wanted")
+    got = rows.select("text", "lang").mapInArrow(tidied(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(got["lang"].to_pylist()))
     counts = np.zeros((len(langs), BUCKETS), np.int64)
     place = {x: i for i, x in enumerate(langs)}
@@ -122,16 +130,20 @@ def identify(docs: DataFrame, *, keep: list[str] | None = None) -> DataFrame:
     spark = docs.sparkSession
     model = learn(docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1))
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").alias("_text"), *(keep or []))
-    names = [n for n in rows.columns if n != "_text"]
+    results = ["doc_id", "held_out", "lang_pred", "score", "languages"]
+    kept = unused([*results, "_text"], *(keep or []))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("_text"), *[F.col(f"`{c}`").alias(k) for c, k in zip(keep or [], kept)])
+    names = ["doc_id", "held_out", *kept]
 
     def run(batches):
         claim_cache("language model", lambda: None)
         m = shared.value
-        for batch in batches:
-            got = [m.predict(t) for t in batch.column("_text").to_pylist()]
-            mixed = [",".join(f"{x}:{s:.3f}" for x, s in g[2]) for g in got]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array(mixed, pa.string())], names=[*names, "lang_pred", "score", "languages"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                got = [m.predict(t) for t in batch.column("_text").to_pylist()]
+                mixed = [",".join(f"{x}:{s:.3f}" for x, s in g[2]) for g in got]
+                yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array(mixed, pa.string())], names=[*names, "lang_pred", "score", "languages"])
 
     kinds = dict(rows.dtypes)
     return rows.mapInArrow(tidied(run), ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", lang_pred string, score double, languages string")

@@ -12,7 +12,9 @@ lost, ties to the highest; where none catches any, or the labels are too few to
 
 Nulls: a null text has no words (and fails the base rule). A null or repeated doc_id has its row judged all the same;
 labels repeated for a document count once, by their worst quality. Empty tables give empty results. Ratios with a
-zero denominator are 0.
+zero denominator are 0. Repeated rows are measured and judged again each. Texts are taken whole, each in one row's
+expressions. Of cutoffs that are as good as each other the highest is taken. Other columns come along, whatever their
+names, but for those that have the name of a count or verdict, which the result replaces.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import unused
+
 #: Rules: the ratio that is cut, and the cutoffs tried, from mild to strict.
 RULES = {
     "symbol_ratio": ("n_symbols / greatest(word_chars, 1)", [0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05]),
@@ -46,23 +50,21 @@ def measured(docs: DataFrame, *, text_col: str = "text", window: int = 8) -> Dat
     )
     covered = f"transform(array({places}), p -> aggregate(sequence(1, size(p) - 1), {w}L, (n, k) -> n + least({w}, get(p, k) - get(p, k - 1))))[0]"
     repeats = f"case when size(_words) < {w + 1} then 0L else transform(array({hashes}), a -> case when size(array_distinct(a)) = size(a) then 0L else {covered} end)[0] end"
-    out = docs.withColumns({"_words": F.expr(words), "_lines": F.expr(lines)})
+    a, b = unused(docs.columns, "_words", "_lines")
+    out = docs.withColumns({a: F.expr(words), b: F.expr(lines)})
+    repeats = repeats.replace("_words", f"`{a}`")
     return out.withColumns(
         {
-            "n_words": F.expr("cast(size(_words) as bigint)"),
-            "word_chars": F.expr("cast(char_length(array_join(_words, '')) as bigint)"),
+            "n_words": F.expr(f"cast(size(`{a}`) as bigint)"),
+            "word_chars": F.expr(f"cast(char_length(array_join(`{a}`, '')) as bigint)"),
             "n_symbols": F.expr(f"cast(char_length({t}) - char_length(translate({t}, '#*$%&|<>', '')) as bigint)"),
             "n_exclaims": F.expr(f"cast(char_length({t}) - char_length(replace({t}, '!', '')) as bigint)"),
             "n_uppers": F.expr(f"cast(char_length({t}) - char_length(regexp_replace({t}, '\\\\p{{Lu}}', '')) as bigint)"),
-            "n_lines": F.expr("cast(size(_lines) as bigint)"),
-            "n_dup_lines": F.expr("cast(size(_lines) - size(array_distinct(_lines)) as bigint)"),
+            "n_lines": F.expr(f"cast(size(`{b}`) as bigint)"),
+            "n_dup_lines": F.expr(f"cast(size(`{b}`) - size(array_distinct(`{b}`)) as bigint)"),
             "n_repeat_words": F.expr(repeats),
         }
-    ).drop("_words", "_lines").withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
-
-
-def ratios(measures: DataFrame) -> DataFrame:
-    return measures.withColumns({name: F.expr(f"cast({e} as double)") for name, (e, _) in RULES.items()})
+    ).drop(a, b).withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
 
 
 def log_binomial_tail(k: str, n: str, p: str) -> str:
@@ -78,7 +80,7 @@ def calibrate(measures: DataFrame, labels: DataFrame, *, stratum: str = "lang",
     """A row per stratum: stratum and a cutoff per rule (null: off). labels: doc_id, quality (1: good)."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     # Documents that fail the base rule are rejected whatever the cutoffs; the others are what cutoffs are answerable for.
-    rows = ratios(measures.where("not base_failed")).select("doc_id", F.col(stratum).alias("stratum"), *RULES).join(known, "doc_id")
+    rows = measures.where("not base_failed").select("doc_id", F.col(f"`{stratum}`").alias("stratum"), *[F.expr(f"cast({e} as double)").alias(name) for name, (e, _) in RULES.items()]).join(known, "doc_id")
     sums, earlier = {"good": F.expr("count_if(quality = 1)")}, "false"
     for name, (_, cuts) in RULES.items():
         sums[f"{name}_first"] = F.expr(f"count_if(quality = 0 and {name} > {cuts[-1]}d and not ({earlier}))")
@@ -98,9 +100,10 @@ def calibrate(measures: DataFrame, labels: DataFrame, *, stratum: str = "lang",
 
 def judged(measures: DataFrame, cutoffs: DataFrame, *, stratum: str = "lang") -> DataFrame:
     """The rows with `kept`. cutoffs: what calibrate gave, staged; its rows are counted before any broadcast."""
-    side = cutoffs.withColumnRenamed("stratum", "_stratum")
+    names = dict(zip(["stratum", *[f"{r}_cut" for r in RULES]], unused(measures.columns, "stratum", *[f"{r}_cut" for r in RULES])))
+    side = cutoffs.select(*[F.col(a).alias(b) for a, b in names.items()])
     side = F.broadcast(side) if cutoffs.count() <= BROADCAST_ROWS else side
     # greatest() skips nulls (rules that are off) and can't be split: an "or" would be pushed below the join in parts and the measures worked out twice.
-    rejected = f"greatest(base_failed, {', '.join(f'{name} > {name}_cut' for name in RULES)})"
-    out = ratios(measures).join(side, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
-    return out.withColumn("kept", F.expr(f"not {rejected}")).drop("_stratum", *[f"{name}_cut" for name in RULES], *RULES)
+    over = [f"cast({ratio} as double) > `{names[f'{r}_cut']}`" for r, (ratio, _) in RULES.items()]
+    out = measures.join(side, F.col(f"`{stratum}`").eqNullSafe(F.col(f"`{names['stratum']}`")), "left")
+    return out.withColumn("kept", F.expr(f"not greatest(base_failed, {', '.join(over)})")).drop(*names.values())
