@@ -89,7 +89,7 @@ def sink_roundtrip(spark, d):
     rec = _envelopes(spark, d).where("error is null")
     path, found = scratch(spark), []
     for make, cond in ((sinks.document_sink, "c_custkey % 3 <> 0"), (sinks.relational_sink, "c_custkey % 3 = 0")):
-        sink = make(spark, f"{path}/{make.__name__}")
+        sink = make(spark, f"{path}/{make.__name__}", buckets=8)
         mine = rec.where(cond)
         sink.upsert(mine.withColumn("payload", F.lit("{}")))
         sink.upsert(mine.withColumn("checksum", F.expr("case when c_custkey % 17 = 0 then 'bad' else checksum end")))

@@ -51,9 +51,9 @@ class TableSource:
 class Sink:
     """names: the sink's column of each envelope field. id_of: a column that identifies a record, made from its route key."""
 
-    def __init__(self, spark: SparkSession, path: str, destination: str, names: dict[str, str], *, id_column: str | None = None, updated: str | None = None, dry: bool = False) -> None:
+    def __init__(self, spark: SparkSession, path: str, destination: str, names: dict[str, str], *, id_column: str | None = None, updated: str | None = None, dry: bool = False, buckets: int = 64) -> None:
         self.spark, self.table, self.destination, self.names = spark, Versions(spark, path), destination, names
-        self.id_column, self.updated, self.dry = id_column, updated, dry
+        self.id_column, self.updated, self.dry, self.buckets = id_column, updated, dry, buckets
 
     @property
     def key(self) -> str:
@@ -69,17 +69,18 @@ class Sink:
         return records.select(*own, *[F.col(a).alias(b) for a, b in self.names.items()], *time)
 
     def upsert(self, records: DataFrame, now: Column | None = None) -> None:
-        rows, old = self.rows(records, now), self.table.read()
+        """Rewrites the table's buckets that the records fall in."""
+        rows = self.rows(records, now)
         if self.dry:
             dry_run(rows)
         else:
-            self.table.publish(rows if old is None else merge.upsert(old, rows, [self.key]))
+            self.table.merge(rows, [self.key], lambda old, new: new if old is None else merge.upsert(old, new, [self.key]), buckets=self.buckets)
 
     def delete(self, keys: DataFrame) -> None:
         """keys: route_key."""
-        old = self.table.read()
-        if old is not None and not self.dry:
-            self.table.publish(merge.delete(old, keys.select(self.id_of(F.col("route_key")).alias(self.key)), [self.key]))
+        if not self.dry and self.table.current():
+            gone = keys.select(self.id_of(F.col("route_key")).alias(self.key))
+            self.table.merge(gone, [self.key], lambda old, new: self.table.read().limit(0) if old is None else merge.delete(old, new, [self.key]))
 
     def read(self) -> DataFrame | None:
         """Envelopes with size and checksum worked out again; stale: what was stored with the record differs from that."""
