@@ -8,8 +8,9 @@ capacity only. Pieces then find their place by their number among the pieces of
 with its tokens, and a length that a third of all pieces share is numbered by task, not in one task.
 
 Documents longer than the capacity are cut into pieces of exactly the capacity, the first one taking the remainder.
-Nulls: a null text is an empty one (only the end id). Repeated rows are packed again each. An empty table packs
-nothing. Other columns are not looked at.
+Nulls: a null text is an empty one (only the end id); a null doc_id is kept. Repeated rows are packed again each. An
+empty table packs nothing. Lengths that fit equally well go by the fuller sequence that was opened last. Other columns
+are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -226,8 +227,8 @@ def slots(planned: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndar
     return {a: tuple(np.array(c, np.int64) for c in zip(*r)) for a, r in runs.items()}
 
 
-def pack(cut: DataFrame, *, capacity: int = 2048) -> DataFrame:
-    """Places for staged pieces: the rows of `pieces` (staged, so that numbers don't change) with sequence_id and offset; `ids` stay behind in the staged table, their digest comes along."""
+def pack(cut: DataFrame, *, capacity: int = 2048, ids: bool = False) -> DataFrame:
+    """Places for staged pieces: the rows of `pieces` (staged, so that numbers don't change) with sequence_id and offset and the digest of their ids; the ids themselves only if asked for, else no token is shuffled."""
     spark = cut.sparkSession
     counts = cut.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     hist = np.zeros(capacity + 1, np.int64)
@@ -236,7 +237,7 @@ def pack(cut: DataFrame, *, capacity: int = 2048) -> DataFrame:
     where = spark.sparkContext.broadcast(slots(plan(hist, capacity)))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    numbered = cut.select("task", "doc_id", "piece", "start", "length", "nth", F.crc32("ids").alias("ids_crc32")).join(base, ["task", "length"])
+    numbered = cut.select("task", "doc_id", "piece", "start", "length", "nth", F.crc32("ids").alias("ids_crc32"), *(["ids"] if ids else [])).join(base, ["task", "length"])
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length, number):
@@ -252,7 +253,16 @@ def pack(cut: DataFrame, *, capacity: int = 2048) -> DataFrame:
         return pd.DataFrame({"sequence_id": seq, "offset": off})
 
     out = numbered.withColumn("at", place("length", F.col("base") + F.col("nth")))
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "at.sequence_id", "at.offset")
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "at.sequence_id", "at.offset", *(["ids"] if ids else []))
+
+
+def sequences(docs: DataFrame, *, capacity: int = 2048, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
+    """The training data: a row for each sequence, sequence_id, ids (u32 little-endian, its pieces in a row), n_tokens and starts (where pieces begin)."""
+    placed = pack(staged(pieces(docs, capacity=capacity, end_id=end_id, tokenizer=tokenizer), "pieces"), capacity=capacity, ids=True)
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))  # of at most `capacity` tokens in all
+    out = placed.groupBy("sequence_id").agg(parts.alias("parts"), F.sum("length").alias("n_tokens"))
+    whole = F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["ids"])), ""))
+    return out.select("sequence_id", whole.alias("ids"), "n_tokens", F.transform("parts", lambda p: p["offset"]).alias("starts"))
 
 
 def packed(docs: DataFrame, *, capacity: int = 2048, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
