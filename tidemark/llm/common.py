@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,10 +35,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write once, read back: cuts lineage, and lost executors don't change what later steps read."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+def staged(df: DataFrame, name: str, *, rows: int | None = None) -> DataFrame:
+    """Write once, read back: cuts lineage, and lost executors don't change what later steps read. rows: how many at most go to Python at a time, where they hold texts."""
+    path, conf, key = scratch(df.sparkSession, name), df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    if rows and not 0 < int(before) <= rows:
+        conf.set(key, str(rows))
+    try:
+        df.write.parquet(path)
+    finally:
+        if rows:
+            conf.set(key, before)
     for paths in getattr(df.sparkSession, "_tidemark_open", ()):
         paths.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -57,17 +65,46 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 @contextmanager
-def workspace(spark: SparkSession, *keep: DataFrame) -> Iterator[list[DataFrame]]:
-    """What is staged inside goes when the block ends, but for the frames put into the list it gives."""
+def tracked(spark: SparkSession) -> Iterator[list[str]]:
+    """The paths of what is staged inside."""
     stack = spark._tidemark_open = getattr(spark, "_tidemark_open", [])
-    paths, kept = [], [*keep]
+    paths: list[str] = []
     stack.append(paths)
     try:
-        yield kept
+        yield paths
     finally:
-        stack.remove(paths)
-        for path in set(paths) - {df._tidemark_path for df in kept}:
-            _delete(spark, path)
+        stack[:] = [p for p in stack if p is not paths]
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """What is staged inside goes when the block ends, but for the frames put into the list it gives."""
+    kept: list[DataFrame] = []
+    with tracked(spark) as paths:
+        try:
+            yield kept
+        finally:
+            for path in set(paths) - {df._tidemark_path for df in kept}:
+                _delete(spark, path)
+
+
+def step(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage of a pipeline whose results are written and read again: when it begins, what earlier stages of the session staged on their way goes, unless its input still reads it."""
+
+    @wraps(f)
+    def run(spark, docs, sf_dir):
+        old = getattr(spark, "_tidemark_steps", [])
+        files = docs.inputFiles() if old else []
+        read = [p for p in old if any(p.rsplit("/", 1)[-1] in x for x in files)]
+        for path in old:
+            if path not in read:
+                _delete(spark, path)
+        with tracked(spark) as paths:
+            out = f(spark, docs, sf_dir)
+        spark._tidemark_steps = read + paths
+        return out
+
+    return run
 
 
 def unused(names: list[str], *wanted: str) -> list[str]:
