@@ -12,11 +12,15 @@ an entry is a repeat if the same one is in a document earlier in order of (doc_i
 
 Offsets (in characters of the original text) of what was removed are kept.
 
-A task packs its documents in chunks and sends an entry once for all of a chunk's documents, 48 bits of it to one of
-the buckets that the rest chooses; a run needs eleven windows and a line is held by two entries, so a chance collision
-removes nothing but, once in millions of run ends, one more word. Documents get one bit per entry back. Nulls: a null
-text has no words. A null doc_id ranks before all others. Rows equal in id and text are one document and get the same
-result each; of other rows that share an id, or have none, exactly one keeps each entry.
+A task packs its documents in chunks and sends an entry once for all of a chunk's documents, 40 bits of it to one of
+the buckets that the rest chooses (their number grows with the text); a run needs eleven windows and a line is held by
+two entries, so a chance collision removes nothing but, once in hundreds of thousands of run ends, one more word.
+Documents get one bit per entry back.
+
+Nulls: a null text has no words and stays null. A null doc_id ranks before all others. Rows equal in id and text are one
+document and get the same result each; of other rows that share an id, or have none, exactly one keeps each entry.
+Texts are taken whole; one with more entries than a chunk makes a chunk alone. An empty table gives an empty one. Other
+columns come along, but for those that have the name of a result, which the result replaces.
 """
 
 from __future__ import annotations
@@ -31,12 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import claim_cache, partitions, row_keys, tidied
+from tidemark.llm.common import boxed, claim_cache, partitions, row_keys, tidied, unboxed
 
 EDGE = re.compile(r"\n|[.,;:!?](?=\s)")
 WORD = re.compile(r"\S+")
-#: Words of a window, and entries of a chunk of documents.
-WINDOW, CHUNK = 10, 1_000_000
+#: Words of a window, entries of a chunk of documents, and bytes of text that a bucket is made for.
+WINDOW, CHUNK, BUCKET = 10, 1_000_000, 16 << 20
+RESULTS = ["clean_text", "n_units", "n_removed", "removed_spans"]
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 NONE = np.empty(0, np.uint64)
 
@@ -181,12 +186,36 @@ def cut(text: str, repeat: np.ndarray, min_words: int, solid_words: int, line_wo
 
 
 def _small(a: np.ndarray) -> bytes:
-    """Numbers in two bytes each, or in four if one needs that; _wide reads them."""
-    return a.astype("<u2" if not len(a) or a.max() < 1 << 16 else "<u4").tobytes()
+    """Numbers in as few bytes each as the largest needs; _wide reads them."""
+    top = int(a.max()) if len(a) else 0
+    return a.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4" if top < 1 << 32 else "<u8").tobytes()
 
 
 def _wide(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype(np.int64)
+    return np.frombuffer(data, {1: "u1", 2: "<u2", 4: "<u4", 8: "<u8"}[len(data) // n] if n else "u1").astype(np.int64)
+
+
+def _rising(a: np.ndarray) -> bytes:
+    """Rising 64-bit numbers: the first, then the steps. _risen reads them."""
+    return a[:1].astype("<i8").tobytes() + _small(np.diff(a.view(np.uint64)))
+
+
+def _risen(data: bytes, n: int) -> np.ndarray:
+    first = np.frombuffer(data[:8], "<i8")
+    return np.cumsum(np.concatenate((first, _wide(data[8:], n - 1)))) if n > 1 else first
+
+
+def _steps(at: np.ndarray) -> bytes:
+    """Rising places as steps of one byte; 255 stands for 255 and a further byte."""
+    step = np.diff(at, prepend=0)
+    out = np.full(int((step // 255 + 1).sum()), 255, np.uint8)
+    out[np.cumsum(step // 255 + 1) - 1] = step % 255
+    return out.tobytes()
+
+
+def _places(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255]
 
 
 PACKED = "chunk long, bucket int, ids binary, keys binary, counts binary, low binary, mid binary, at binary"
@@ -213,7 +242,7 @@ def _chunks(docs: DataFrame, buckets: int, line_words: int) -> DataFrame:
             again[order[1:]] = h[order[1:]] == h[order[:-1]]
             at = np.flatnonzero(~again)
             h, who = h[at], np.repeat(np.arange(len(keys)), lens)[at]
-            bucket = ((h >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64)
+            bucket = ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             chunk = (part << 32) + count
@@ -223,7 +252,7 @@ def _chunks(docs: DataFrame, buckets: int, line_words: int) -> DataFrame:
                 if len(mine):
                     n = np.bincount(who[mine], minlength=len(keys))
                     has, x = n > 0, h[mine]
-                    rows.append((chunk, b, ids[has].tobytes(), texts[has].tobytes(), _small(n[has]), x.astype("<u4").tobytes(), (x >> np.uint64(32)).astype("<u2").tobytes(), _small(np.diff(at[mine], prepend=0))))
+                    rows.append((chunk, b, _rising(ids[has]), (texts[has].view(np.uint64) >> np.uint64(8)).astype("<u4").tobytes(), _small(n[has]), x.astype("<u4").tobytes(), (x >> np.uint64(32)).astype("u1").tobytes(), _steps(at[mine])))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32()] + [pa.binary()] * 6)], names=[x.split()[0] for x in PACKED.split(", ")])
 
         for batch in batches:
@@ -249,14 +278,15 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
     out = [(r.chunk, r.ids, r.keys, r.counts, r.at) for r in heads.itertuples()]
     if len(rows):
         read = lambda c, t: [np.frombuffer(x, t) for x in rows[c]]
-        ids, low = read("ids", "<i8"), read("low", "<u4")
-        k_id, k_text = np.concatenate(ids), np.concatenate(read("keys", "<i8"))
+        keys, low = read("keys", "<u4"), read("low", "<u4")  # of a text's hash 32 bits: they only part rows that share an id
+        ids = [_risen(x, len(k)) for x, k in zip(rows["ids"], keys)]
+        k_id, k_text = np.concatenate(ids), np.concatenate(keys)
         order = np.lexsort((k_text, k_id))
         new = (np.diff(k_id[order]) != 0) | (np.diff(k_text[order]) != 0)
         rank = np.empty(len(order), np.int64)
         rank[order] = np.concatenate(([0], np.cumsum(new)))
         rank = np.repeat(rank, np.concatenate([_wide(x, len(i)) for x, i in zip(rows["counts"], ids)]))
-        h = np.concatenate(low).astype(np.uint64) | np.concatenate(read("mid", "<u2")).astype(np.uint64) << np.uint64(32)
+        h = np.concatenate(low).astype(np.uint64) | np.concatenate(read("mid", "u1")).astype(np.uint64) << np.uint64(32)
         order = np.argsort(h, kind="stable")
         h, rank = h[order], rank[order]
         first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
@@ -266,7 +296,7 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
         edges = np.cumsum([len(x) for x in low])[:-1]
         for chunk, at, x, mine in zip(rows["chunk"], rows["at"], low, np.split(repeat, edges)):
             if mine.any():
-                out.append((chunk, None, None, None, np.cumsum(_wide(at, len(x)))[mine].astype("<u4").tobytes()))
+                out.append((chunk, None, None, None, _places(at)[mine].astype("<u4").tobytes()))
     return pd.DataFrame(out, columns=["chunk", "ids", "keys", "counts", "at"])
 
 
@@ -283,27 +313,31 @@ def _verdict(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def dedup(docs: DataFrame, *, min_words: int = 20, solid_words: int = 12, line_words: int = 4) -> DataFrame:
     """The rows of docs with clean_text, n_units (clauses), n_removed and removed_spans (array of [start, end))."""
-    keyed = docs.withColumns(row_keys())
-    met = _chunks(keyed, partitions(docs.sparkSession), line_words).groupBy("bucket").applyInPandas(_meet, "chunk long, ids binary, keys binary, counts binary, at binary")
+    columns = [c for c in docs.columns if c not in RESULTS]
+    keyed = boxed(docs.select(*[f"`{c}`" for c in columns]), "doc_id", "text").withColumns(row_keys())
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    met = _chunks(keyed, max(partitions(docs.sparkSession), size // BUCKET), line_words).groupBy("bucket").applyInPandas(_meet, "chunk long, ids binary, keys binary, counts binary, at binary")
     repeats = met.groupBy("chunk").applyInPandas(_verdict, "k_id long, k_text long, _repeats binary").dropDuplicates(["k_id", "k_text"])
-    rows = keyed.join(repeats, ["k_id", "k_text"], "left").drop("k_id", "k_text")
-    kept = [c for c in rows.columns if c != "_repeats"]
+    rows = keyed.join(repeats, ["k_id", "k_text"], "left").select("doc_id", "text", "box", "_repeats")
 
     def rewrite(batches):
-        for batch in batches:
-            texts, spans, counts = [], [], []
-            for text, bits in zip(batch.column("text").to_pylist(), batch.column("_repeats").to_pylist(), strict=True):
-                gone = cut(text, np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool), min_words, solid_words, line_words) if bits else []
-                at, parts = 0, []
-                for a, b in gone:
-                    parts.append(text[at:a])
-                    at = b
-                texts.append(None if text is None else "".join([*parts, text[at:]]))
-                spans.append([list(s) for s in gone])
-                ends = [m.end() for m in EDGE.finditer(text or "")]
-                counts.append((len(ends) + ((ends[-1] if ends else 0) < len(text or "")), len(gone)))
-            more = [pa.array(texts, pa.string()), pa.array([c[0] for c in counts], pa.int64()), pa.array([c[1] for c in counts], pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64())))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *more], names=[*kept, "clean_text", "n_units", "n_removed", "removed_spans"])
-
-    kinds_of = dict(rows.dtypes)
-    return rows.mapInArrow(tidied(rewrite), ", ".join(f"`{c}` {kinds_of[c]}" for c in kept) + ", clean_text string, n_units long, n_removed long, removed_spans array<array<long>>")
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                batch = whole.slice(i, 512)
+                texts, spans, counts = [], [], []
+                for text, bits in zip(batch.column("text").to_pylist(), batch.column("_repeats").to_pylist(), strict=True):
+                    gone = cut(text, np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool), min_words, solid_words, line_words) if bits else []
+                    at, parts = 0, []
+                    for a, b in gone:
+                        parts.append(text[at:a])
+                        at = b
+                    texts.append(None if text is None else "".join([*parts, text[at:]]))
+                    spans.append([list(s) for s in gone])
+                    ends = [m.end() for m in EDGE.finditer(text or "")]
+                    counts.append((len(ends) + ((ends[-1] if ends else 0) < len(text or "")), len(gone)))
+                more = [pa.array(texts, pa.string()), pa.array([c[0] for c in counts], pa.int64()), pa.array([c[1] for c in counts], pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64())))]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "text", "box")], *more], names=["doc_id", "text", "box", *RESULTS])
+
+    kinds = dict(rows.dtypes)
+    out = rows.mapInArrow(tidied(rewrite), f"doc_id {kinds['doc_id']}, text {kinds['text']}, box {kinds['box']}, clean_text string, n_units long, n_removed long, removed_spans array<array<long>>")
+    return unboxed(out, columns, "doc_id", "text", more=RESULTS)
