@@ -2,8 +2,11 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -250,3 +253,41 @@ def test_packed_numbers_come_back(a, b):
     places = np.cumsum(np.array(b, np.int64))
     assert line_dedup._places(line_dedup._steps(places)).tolist() == places.tolist()
     assert line_dedup._wide(line_dedup._small(np.array(b, np.int64)), len(b)).tolist() == b
+
+
+class _Frame:
+    """Gives the function that a frame's mapInArrow would run."""
+
+    select = lambda self, *columns: self
+    mapInArrow = lambda self, run, schema: run
+
+
+def test_passages_are_met_in_little_memory(monkeypatch):
+    """Chunks of entries are packed, and buckets met, in few bytes an entry besides the entries; what they find is right."""
+    import pyspark
+
+    monkeypatch.setattr(pyspark, "TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": classmethod(lambda c: 0)}))
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rnd.choices(words, k=4_000)) for _ in range(60)]
+    texts[41] = texts[7]
+    made = [line_dedup.entries(t, 4) for t in texts]
+    n, met = sum(map(len, made)), sum(map(len, made)) - len(made[41])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(range(0, 120, 2)), pa.array(texts)], names=["k_id", "k_text", "text"])
+    peaks = []
+    monkeypatch.setattr(line_dedup, "entries", lambda text, line_words, left=iter(made): next(left))
+    made = None
+    tracemalloc.start()
+    try:
+        packed = pd.concat([b.to_pandas() for b in line_dedup._chunks(_Frame(), 1, 4)([batch])])
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        packed = pd.concat([packed[packed["low"].notnull()].assign(chunk=c) for c in (1, 2)])
+        packed["ids"] = [line_dedup._rising(line_dedup._risen(x, len(k) // 4) + 60 * i) for i, (x, k) in enumerate(zip(packed["ids"], packed["keys"]))]
+        base = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        found = line_dedup._meet(packed)
+        peaks.append(tracemalloc.get_traced_memory()[1] - base)
+    finally:
+        tracemalloc.stop()
+    assert found["chunk"].tolist() == [2] and len(found["at"][0]) // 4 == met
+    assert peaks[0] < 84 * n and peaks[1] < 36 * 2 * met, [peaks[0] / n, peaks[1] / 2 / met]

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import boxed, claim_cache, partitions, row_keys, tidied, unboxed
+from tidemark.llm.common import boxed, claim_cache, partitions, row_keys, staged, tidied, unboxed
 
 EDGE = re.compile(r"\n|[.,;:!?](?=\s)")
 WORD = re.compile(r"\S+")
@@ -50,7 +50,7 @@ class _WordHash(dict):
     """Signed 64-bit hashes; the lowest bit is set if a clause ends with the word."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) >> 1 << 1 | (word[-1] in ".,;:!?")
         self[word] = h = h - (1 << 64) if h >> 63 else h
@@ -218,6 +218,13 @@ def _places(data: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.int64)[steps != 255]
 
 
+def _sorted(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the numbers in rising order, equal ones as they stand, four bytes each; and which of these are the first of their number."""
+    order = np.argsort(h, kind="stable").astype(np.uint32)
+    h = h[order]
+    return order, np.concatenate(([True], h[1:] != h[:-1]))
+
+
 PACKED = "chunk long, bucket int, ids binary, keys binary, counts binary, low binary, mid binary, at binary"
 
 
@@ -234,17 +241,21 @@ def _chunks(docs: DataFrame, buckets: int, line_words: int) -> DataFrame:
         def flush():
             keys = sorted(held)
             lens = np.array([len(held[k]) for k in keys], np.int64)
-            h = np.concatenate([held[k] for k in keys])
+            h = np.concatenate([held.pop(k) for k in keys])
             ids, texts = (np.array(x, "<i8") for x in zip(*keys))
-            # Documents are in order, so of equal entries the first one is the earliest.
-            order = np.argsort(h, kind="stable")
+            # Documents are in order, so of equal entries the first one is the earliest. Arrays as long as the chunk are few and narrow.
+            order, first = _sorted(h)
             again = np.zeros(len(h), bool)
-            again[order[1:]] = h[order[1:]] == h[order[:-1]]
-            at = np.flatnonzero(~again)
-            h, who = h[at], np.repeat(np.arange(len(keys)), lens)[at]
-            bucket = ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            again[order[~first]] = True
+            del order, first
+            at = np.flatnonzero(~again).astype(np.uint32)
+            h, who = h[at], np.repeat(np.arange(len(keys), dtype=np.uint32), lens)[at]
+            bucket = h >> np.uint64(40)
+            bucket %= np.uint64(buckets)
+            bucket = bucket.astype(np.min_scalar_type(buckets))
+            edges = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
+            order = np.argsort(bucket, kind="stable").astype(np.uint32)
+            del bucket
             chunk = (part << 32) + count
             rows = [(chunk, chunk % buckets, ids.tobytes(), texts.tobytes(), lens.tobytes(), None, None, np.packbits(again).tobytes())]
             for b in range(buckets):
@@ -252,7 +263,8 @@ def _chunks(docs: DataFrame, buckets: int, line_words: int) -> DataFrame:
                 if len(mine):
                     n = np.bincount(who[mine], minlength=len(keys))
                     has, x = n > 0, h[mine]
-                    rows.append((chunk, b, _rising(ids[has]), (texts[has].view(np.uint64) >> np.uint64(8)).astype("<u4").tobytes(), _small(n[has]), x.astype("<u4").tobytes(), (x >> np.uint64(32)).astype("u1").tobytes(), _steps(at[mine])))
+                    rows.append((chunk, b, _rising(ids[has]), (texts[has].view(np.uint64) >> np.uint64(8)).astype("<u4").tobytes(), _small(n[has]), x.astype("<u4").tobytes(), (x >> np.uint64(32)).astype("u1").tobytes(), _steps(at[mine].astype(np.int64))))
+            del h, who, at, order
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32()] + [pa.binary()] * 6)], names=[x.split()[0] for x in PACKED.split(", ")])
 
         for batch in batches:
@@ -264,7 +276,6 @@ def _chunks(docs: DataFrame, buckets: int, line_words: int) -> DataFrame:
                 if size >= CHUNK:
                     yield flush()
                     count += 1
-                    held.clear()
                     size = 0
         if held:
             yield flush()
@@ -283,16 +294,21 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
         k_id, k_text = np.concatenate(ids), np.concatenate(keys)
         order = np.lexsort((k_text, k_id))
         new = (np.diff(k_id[order]) != 0) | (np.diff(k_text[order]) != 0)
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.uint32)
         rank[order] = np.concatenate(([0], np.cumsum(new)))
+        del k_id, k_text, order, new
         rank = np.repeat(rank, np.concatenate([_wide(x, len(i)) for x, i in zip(rows["counts"], ids)]))
-        h = np.concatenate(low).astype(np.uint64) | np.concatenate(read("mid", "u1")).astype(np.uint64) << np.uint64(32)
-        order = np.argsort(h, kind="stable")
-        h, rank = h[order], rank[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(h))))
-        repeat = np.zeros(len(h), bool)
+        h = np.concatenate(read("mid", "u1")).astype(np.uint64)
+        h <<= np.uint64(32)
+        h |= np.concatenate(low)
+        order, first = _sorted(h)
+        del h
+        rank = rank[order]
+        first = np.flatnonzero(first)
+        least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(rank))))
+        repeat = np.zeros(len(rank), bool)
         repeat[order] = rank > least
+        del order, first, rank, least
         edges = np.cumsum([len(x) for x in low])[:-1]
         for chunk, at, x, mine in zip(rows["chunk"], rows["at"], low, np.split(repeat, edges)):
             if mine.any():
@@ -318,6 +334,7 @@ def dedup(docs: DataFrame, *, min_words: int = 20, solid_words: int = 12, line_w
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     met = _chunks(keyed, max(partitions(docs.sparkSession), size // BUCKET), line_words).groupBy("bucket").applyInPandas(_meet, "chunk long, ids binary, keys binary, counts binary, at binary")
     repeats = met.groupBy("chunk").applyInPandas(_verdict, "k_id long, k_text long, _repeats binary").dropDuplicates(["k_id", "k_text"])
+    repeats = staged(repeats, "passage-repeats", rows=1000)  # written before texts are dealt out for the join, so that both don't take memory at once
     rows = keyed.join(repeats, ["k_id", "k_text"], "left").select("doc_id", "text", "box", "_repeats")
 
     def rewrite(batches):
