@@ -12,8 +12,9 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe_codec, html_text, impact_search, jaccard_join, language, licenses, line_dedup, packing, quality, records
-from tidemark.llm.common import scratch, tokenizer_file
+from tidemark.llm import bpe_codec, html_text, impact_search, jaccard_join, language, licenses, line_dedup, packing, quality, queries, records
+from tidemark.llm.common import gathered, scratch, tokenizer_file, tracked
+from tidemark.llm.common import table as table_of
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, start long, h1 string, root string, pos int"
 
@@ -323,6 +324,26 @@ def test_quality_cutoffs_of_small_strata(spark):
     assert all(k == (d % 1000 < 311) for d, k in kept.items())
 
 
+def test_quality_stages_few_files(spark, tmp_path):
+    """A file per 64 MB of documents, not one per task that reads them; no row is lost on the way."""
+    d, rows = str(tmp_path), [(i, t, "en" if i % 3 else None) for i, t in enumerate([*texts(), None, "", "a b " * 50])]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(0, 1), (None, 0)], "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+    conf, key = spark.conf, "spark.sql.files.maxPartitionBytes"
+    before = conf.get(key)
+    conf.set(key, "2k")
+    try:
+        docs = table_of(spark, d, "documents")
+        assert docs.rdd.getNumPartitions() >= 6
+        with tracked(spark) as paths:
+            got = queries.op10_quality(spark, d).collect()
+        assert [len(spark.read.parquet(p).inputFiles()) for p in paths] == [1, 1]
+        assert gathered(docs, docs, each=1).rdd.getNumPartitions() == 4 and gathered(docs, docs, each=1).count() == len(rows)
+    finally:
+        conf.set(key, before)
+    assert sorted((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == [(i, *plain_measures(t)) for i, t, _ in rows]
+
+
 def test_binomial_tail(spark):
     from math import comb, log
 

@@ -178,6 +178,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def gathered(df: DataFrame, source: DataFrame, *, each: int = 64 << 20) -> DataFrame:
+    """df in a partition for each 64 MB (by Spark's estimate) of source, from which it was made, but no more than shuffles have. For narrow rows before they are staged: else each task that reads source writes a small file, and for each file Hadoop's local file system starts processes."""
+    size = source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(min(1 + size // each, partitions(df.sparkSession)))
+
+
 def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
